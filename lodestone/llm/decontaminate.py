@@ -112,3 +112,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ids = F.sort_array(F.coalesce("ids", F.array().cast("array<string>")))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "text_hash")
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that the benchmark does not contaminate."""
+    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).distinct()
+    return docs.join(sized(bad), F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")), "left_anti")

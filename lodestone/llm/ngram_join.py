@@ -330,3 +330,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     final, _ = store(ids.join(lowest, "label").select("node", "low"), "final")
     out = every.join(final, (every["node"] == final["node"]) & (every["n"] > 0), "left")
     return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.when(every["n"] > 0, final["low"]).otherwise(every["doc_id"]).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that links tie to a row with a smaller id; rows without words stay."""
+    found = jaccard_components(docs, k, num, den).where("n_shingles > 0")
+    same = F.col("doc_id").eqNullSafe(F.col("d"))
+    spare = sized(found.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("d")).distinct())
+    again = sized(found.where("doc_id <=> component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("d")))
+    kept = docs.join(spare, same, "left_anti")
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))

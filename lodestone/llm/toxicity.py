@@ -265,3 +265,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: fl
     texts = docs.select(*pick(docs, "doc_id", "text")).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int, n_sentences long, worst double")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below the threshold."""
+    model = docs.sparkSession.sparkContext.broadcast(train(sample(docs, labels, "toxic", each)))
+
+    def run(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            for a, b, data, offsets in slices(batch.column(at), 4 << 20):
+                score = model.value.score(model.value.features(model.value.sentences(data, offsets)))
+                yield batch.slice(a, b - a).filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
