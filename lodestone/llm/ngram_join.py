@@ -141,7 +141,7 @@ def _index(bands, k, parts):
 
 
 def _shared(batches):
-    """All signatures of a bucket that two or more nodes have: (sig, node, own)."""
+    """All signatures of a bucket that two or more nodes have: (sig, node, own, centre), the centre being the group's smallest node."""
     by: dict[int, list] = {}
     for batch in batches:
         for bucket, own, s, n, c in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
@@ -150,23 +150,39 @@ def _shared(batches):
     for bucket in list(by):
         sig, node, own = (np.concatenate(x) for x in zip(*by.pop(bucket), strict=True))
         order = np.argsort(sig, kind="stable")
-        sig = sig[order]
-        same = np.concatenate(([False], sig[1:] == sig[:-1]))
-        keep = same | np.concatenate((same[1:], [False]))
-        order, sig = order[keep], sig[keep]
-        for a in range(0, len(sig), 1 << 18):
-            part = order[a : a + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(sig[a : a + (1 << 18)]), pa.array(node[part]), pa.array(own[part])], ["sig", "node", "own"])
+        same = sig[order][1:] == sig[order][:-1]
+        keep = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+        order = order[keep]
+        order = order[np.lexsort((node[order], sig[order]))]
+        sig, node, own = sig[order], node[order], own[order]
+        # repeated rows of a class, then groups of a single node, go
+        for single in (False, True):
+            new = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, bool)
+            other = new | np.concatenate(([True], node[1:] != node[:-1])) if len(sig) else new
+            keep = ~(new & np.concatenate((new[1:], [True]))) if single else other
+            sig, node, own = sig[keep], node[keep], own[keep]
+        first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.zeros(0, np.int64)
+        centre = np.repeat(node[first], np.diff(np.append(first, len(sig))))
+        for x in range(0, len(sig), 1 << 18):
+            yield pa.RecordBatch.from_arrays([pa.array(c[x : x + (1 << 18)]) for c in (sig, node, own, centre)], ["sig", "node", "own", "centre"])
+
+
+def _brief(bands, k):
+    """Size, bound's counts and, for the own band, how many full segments a set has."""
 
+    def run(batches):
+        for _, sets in _sets(batches, k):
+            rows = [(digest(s), len(s), int(np.count_nonzero(subsets(s, b := bands.of(len(s)), bands.segments(b))[1])), profile(s)) for s in sets if len(s)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["node", "n", "full", "profile"])
+
+    return run
 
-def _wanted(bands, k):
-    """The sets themselves, their bound's counts and, for their own band, how many full segments they have."""
 
+def _elements(k):
     def run(batches):
         for _, sets in _sets(batches, k):
-            rows = [(digest(s), len(s), int(np.count_nonzero(subsets(s, b := bands.of(len(s)), bands.segments(b))[1])), profile(s), s.tobytes()) for s in sets if len(s)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["node", "n", "full", "profile", "elements"])
+            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "elements"])
 
     return run
 
@@ -260,43 +276,55 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     spare, spare_path = store(spare.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "spare")
     texts = docs.join(sized(spare), "doc_id", "left_anti")
     index = texts.mapInArrow(_index(bands, k, parts), "bucket int, own boolean, sigs binary, nodes binary, counts binary")
-    multi, multi_path = store(index.repartition(parts, "bucket").mapInArrow(_shared, "sig long, node long, own boolean").distinct(), "shared")
+    multi, multi_path = store(index.repartition(parts, "bucket").mapInArrow(_shared, "sig long, node long, own boolean, centre long"), "shared")
     del index
     release(spark)
-    some, some_path = store(multi.select("node").distinct().join(classes, "node").select("node", "rep"), "some")
-    held = docs.join(sized(some.where("rep is not null").select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
-    held = held.unionByName(docs.where("doc_id is null"))
-    sets, sets_path = store(held.mapInArrow(_wanted(bands, k), "node long, n long, full long, profile binary, elements binary").join(some.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    twice = not every.where("n > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
+
+    def of(nodes: DataFrame, run, schema: str) -> DataFrame:
+        """What ``run`` makes of the texts of these nodes, one text a node."""
+        some = nodes.join(classes, "node").select("node", "rep")
+        held = docs.join(sized(some.where("rep is not null").select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
+        held = held.unionByName(docs.where("doc_id is null")) if twice else held
+        out = held.mapInArrow(run, schema)
+        # a repeated or null id may stand for several texts
+        return out.join(some.select("node"), "node", "left_semi").dropDuplicates(["node"]) if twice else out
+
+    brief, brief_path = store(of(multi.select("node").distinct(), _brief(bands, k), "node long, n long, full long, profile binary"), "brief")
     release(spark)
-    brief, brief_path = store(sets.select("node", "n", "full", "profile"), "brief")
 
     def links(pairs: DataFrame) -> tuple[DataFrame, str]:
         """Those of the pairs (a < b, each once) that reach the threshold."""
         x = brief.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("profile").alias("pa"))
         y = brief.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("profile").alias("pb"))
-        near = pairs.join(x, "a").join(y, "b").where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}")
-        near, path = store(near.mapInArrow(_bounded(num, den), "a long, b long"), "near")
+        sizes = brief.select("node", "n")
+        pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("la")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("lb")), "b")
+        pairs, pairs_path = store(pairs.where(f"least(la, lb) * {den} >= greatest(la, lb) * {num}").select("a", "b"), "pairs")
+        near, path = store(pairs.join(x, "a").join(y, "b").mapInArrow(_bounded(num, den), "a long, b long"), "near")
+        release(spark)
+        ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
+        sets, sets_path = store(of(ends, _elements(k), "node long, elements binary"), "sets")
         x = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
         y = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
         out = store(near.join(x, "a").join(y, "b").mapInArrow(_verified(num, den), "a long, b long"), "links")
-        drop(spark, path)
+        drop(spark, path, pairs_path, sets_path)
         release(spark)
         return out
 
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # stars: every member with the smallest of its group
-    centre = multi.groupBy("sig").agg(F.min("node").alias("c"))
-    first, first_path = links(multi.join(centre, "sig").where("node <> c").select(*ordered("node", "c")).distinct())
+    first, first_path = links(multi.where("node <> centre").select(*ordered("node", "centre")).distinct())
     label = components(first, rounds=4)
-    tagged, tagged_path = store(multi.join(label, "node", "left").select("sig", "node", "own", F.coalesce("label", "node").alias("label")), "tagged")
+    tagged = multi.join(sized(label), "node", "left").select("sig", "node", "own", F.coalesce("label", "node").alias("label")).repartition(parts, "sig")
     # what lies in several components
-    kinds = tagged.select("sig", "node", "label").distinct().groupBy("sig", "label").agg(F.count("*").alias("m"))
-    groups = kinds.groupBy("sig").agg(F.sum("m").alias("m"), F.max(F.struct("m", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-    groups, groups_path = store(groups.select("sig", F.col("top.label").alias("main"), (F.col("m") - F.col("top.m")).alias("others")), "groups")
+    groups = tagged.groupBy("sig", "label").agg(F.count("*").alias("m"))
+    groups = groups.groupBy("sig").agg(F.sum("m").alias("m"), F.max(F.struct("m", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    groups = groups.select("sig", F.col("top.label").alias("main"), (F.col("m") - F.col("top.m")).alias("others"))
     mixed, mixed_path = store(tagged.join(groups, "sig"), "mixed")
+    release(spark)
     cold, hot = mixed.where(f"others <= {HOT}"), mixed.where(f"others > {HOT}")
-    few = cold.where("label <> main").select("sig", F.col("node").alias("x"), F.col("label").alias("lx")).distinct()
-    all_ = cold.select("sig", F.col("node").alias("y"), F.col("label").alias("ly")).distinct()
+    few = cold.where("label <> main").select("sig", F.col("node").alias("x"), F.col("label").alias("lx"))
+    all_ = cold.select("sig", F.col("node").alias("y"), F.col("label").alias("ly"))
     second, second_path = links(few.join(all_, "sig").where("lx <> ly").select(*ordered("x", "y")).distinct())
     found, paths = [first, second], [first_path, second_path]
     # sets whose skipped hot segments leave too few counts
@@ -306,8 +334,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     lacking, lacking_path = store(lacking, "lacking")
     if not lacking.isEmpty():
         bare = "sig long, kind int, node long"
-        need, need_path = store(lacking.join(sets.select("node", "elements"), "node").mapInArrow(_deletions(bands, False), bare), "need")
-        members = hot.select("node").distinct().join(sets.select("node", "elements"), "node").withColumns({"hot": F.lit(None).cast("array<long>"), "lacks": F.lit(0).cast("long")})
+        whole_sets, whole_path = store(of(hot.select("node").distinct(), _elements(k), "node long, elements binary"), "hot-sets")
+        need, need_path = store(lacking.join(whole_sets, "node").mapInArrow(_deletions(bands, False), bare), "need")
+        members = whole_sets.withColumns({"hot": F.lit(None).cast("array<long>"), "lacks": F.lit(0).cast("long")})
         against = members.mapInArrow(_deletions(bands, True), bare).join(need.select("sig").distinct(), "sig", "left_semi")
         against, against_path = store(against, "against")
         crowd = against.groupBy("sig", "kind").agg(F.count("*").alias("m")).where(f"m > {HOT}")
@@ -319,12 +348,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
         whole = hot.where("own").join(last.select(F.col("x").alias("node")), "node").select("sig", F.col("node").alias("x"), F.col("label").alias("lx")).join(hot.select("sig", F.col("node").alias("y"), F.col("label").alias("ly")), "sig").where("lx <> ly")
         third, third_path = links(usual.where("x <> y").select(*ordered("x", "y")).union(whole.select(*ordered("x", "y"))).distinct())
         found.append(third)
-        paths += [third_path, need_path, against_path, last_path]
+        paths += [third_path, need_path, against_path, last_path, whole_path]
     linked = found[0]
     for more in found[1:]:
         linked = linked.unionByName(more)
     ends, ends_path = store(components(linked), "components")
-    drop(spark, *paths, first_path, tagged_path, groups_path, mixed_path, lacking_path, sets_path, brief_path, multi_path, some_path, spare_path)
+    drop(spark, *paths, mixed_path, lacking_path, brief_path, multi_path, spare_path)
     ids = classes.join(ends, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
     lowest = ids.groupBy("label").agg(F.min("rep").alias("low"))
     final, _ = store(ids.join(lowest, "label").select("node", "low"), "final")
