@@ -1,0 +1,59 @@
+"""String similarities that Spark has no built-in for, as Arrow-batched functions."""
+
+from __future__ import annotations
+
+import difflib
+
+import pandas as pd
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
+
+
+def lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence, by bit rows of the longer string."""
+    if len(a) < len(b):
+        a, b = b, a
+    places: dict[str, int] = {}
+    for i, c in enumerate(b):
+        places[c] = places.get(c, 0) | 1 << i
+    row = mask = (1 << len(b)) - 1
+    for c in a:
+        hit = row & places.get(c, 0)
+        row = ((row + hit) | (row - hit)) & mask
+    return len(b) - row.bit_count()
+
+
+def indel(a: str, b: str) -> float:
+    return 100.0 if not a and not b else 200.0 * lcs(a, b) / (len(a) + len(b))
+
+
+def token_set(a: str, b: str) -> float:
+    """Best indel ratio among the shared tokens and each side's; a subset scores 100, an empty side 0."""
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    both, left, right = (" ".join(sorted(s)) for s in (x & y, x - y, y - x))
+    if both and (not left or not right):
+        return 100.0
+    one, two = f"{both} {left}".strip(), f"{both} {right}".strip()
+    return max(indel(one, two), indel(both, one) if both else 0.0, indel(both, two) if both else 0.0)
+
+
+def partial(a: str, b: str) -> float:
+    """Best indel ratio of the shorter string and a window of the longer."""
+    short, long_ = sorted((a, b), key=len)
+    if not short:
+        return 0.0
+    return max(indel(short, long_[max(0, i) : i + len(short)]) for i in range(1 - len(short), len(long_)))
+
+
+def _column(f):
+    @pandas_udf(DoubleType())
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([f(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return run
+
+
+indel_ratio, token_set_ratio, partial_ratio = _column(indel), _column(token_set), _column(partial)
+difflib_ratio = _column(lambda a, b: difflib.SequenceMatcher(None, a, b).ratio())
