@@ -18,8 +18,9 @@ deletion (counts 2), and a partner is never missed while the counts sum to more
   its square. Every link between sets of different components is found, so the components
   are exact.
 
-Candidates are first tested with a bound from counts by bucket (the distance of the counts
-never exceeds the difference of the sets), then verified on the sets themselves.
+The same count prunes candidates: of the smaller set's full segments all but H must agree, so a
+pair that shares fewer segments than that, less the skipped ones, is no link. What remains is
+verified on the sets themselves.
 Sets and classes are held as 64-bit hashes.
 """
 
@@ -35,9 +36,7 @@ from .components import components
 from .work import drop, pick, release, sized, store
 
 #: A group is hot if more than this many members lie outside its largest component.
-HOT = 40
-#: Buckets of the bound.
-BUCKETS = 128
+HOT = 24
 #: Bytes of text handled at once.
 BLOCK = 8 << 20
 
@@ -86,10 +85,6 @@ def signature(sums: np.ndarray, sizes: np.ndarray, segs: np.ndarray, band: int)
     return mix(sums + mix((segs.astype(np.uint64) << np.uint64(24)) + np.uint64(band * 131 + 7)) + sizes.astype(np.uint64))
 
 
-def profile(own: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((own % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS), 65535).astype(np.uint16).tobytes()
-
-
 def _sets(batches, k):
     for batch in batches:
         texts = batch.column("text")
@@ -161,6 +156,11 @@ def _shared(batches):
             other = new | np.concatenate(([True], node[1:] != node[:-1])) if len(sig) else new
             keep = ~(new & np.concatenate((new[1:], [True]))) if single else other
             sig, node, own = sig[keep], node[keep], own[keep]
+        # a pair's smaller set meets its partner in its own band only
+        if len(sig):
+            first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+            keep = np.repeat(np.logical_or.reduceat(own, first), np.diff(np.append(first, len(sig))))
+            sig, node, own = sig[keep], node[keep], own[keep]
         first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.zeros(0, np.int64)
         centre = np.repeat(node[first], np.diff(np.append(first, len(sig))))
         for x in range(0, len(sig), 1 << 18):
@@ -168,13 +168,13 @@ def _shared(batches):
 
 
 def _brief(bands, k):
-    """Size, bound's counts and, for the own band, how many full segments a set has."""
+    """Size and, for the own band, number of full segments of a set."""
 
     def run(batches):
         for _, sets in _sets(batches, k):
-            rows = [(digest(s), len(s), int(np.count_nonzero(subsets(s, b := bands.of(len(s)), bands.segments(b))[1])), profile(s)) for s in sets if len(s)]
+            rows = [(digest(s), len(s), int(np.count_nonzero(subsets(s, b := bands.of(len(s)), bands.segments(b))[1]))) for s in sets if len(s)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["node", "n", "full", "profile"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64()), strict=True)], ["node", "n", "full"])
 
     return run
 
@@ -187,22 +187,6 @@ def _elements(k):
     return run
 
 
-def _bounded(num, den):
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            na, nb = (np.asarray(batch.column(c).to_numpy(zero_copy_only=False), np.int64) for c in ("na", "nb"))
-            pa_, pb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS).astype(np.int32) for c in ("pa", "pb"))
-            apart = np.abs(pa_ - pb).sum(axis=1)
-            # |A & B| <= (na + nb - apart) / 2; the union is the rest
-            both = (na + nb - apart) // 2
-            keep = den * both >= num * (na + nb - both)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
-
-    return run
-
-
 def _verified(num, den):
     def run(batches):
         for batch in batches:
@@ -290,30 +274,37 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
         # a repeated or null id may stand for several texts
         return out.join(some.select("node"), "node", "left_semi").dropDuplicates(["node"]) if twice else out
 
-    brief, brief_path = store(of(multi.select("node").distinct(), _brief(bands, k), "node long, n long, full long, profile binary"), "brief")
+    brief, brief_path = store(of(multi.select("node").distinct(), _brief(bands, k), "node long, n long, full long"), "brief")
     release(spark)
 
-    def links(pairs: DataFrame) -> tuple[DataFrame, str]:
-        """Those of the pairs (a < b, each once) that reach the threshold."""
-        x = brief.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("profile").alias("pa"))
-        y = brief.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("profile").alias("pb"))
-        sizes = brief.select("node", "n")
-        pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("la")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("lb")), "b")
-        pairs, pairs_path = store(pairs.where(f"least(la, lb) * {den} >= greatest(la, lb) * {num}").select("a", "b"), "pairs")
-        near, path = store(pairs.join(x, "a").join(y, "b").mapInArrow(_bounded(num, den), "a long, b long"), "near")
+    def links(pairs: DataFrame, part: int = 1, skipped: DataFrame | None = None) -> tuple[DataFrame, str]:
+        """Those of the pairs (a < b) that reach the threshold. With ``m``, how many segments of the
+        smaller set's band a pair shares, those go that share less than a link must (over ``part``)."""
+        x = brief.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("full").alias("fa"))
+        y = brief.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("full").alias("fb"))
+        near = pairs.join(x, "a").join(y, "b").where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}")
+        if "m" in pairs.columns:
+            for side in "ab":
+                if skipped is not None:
+                    near = near.join(skipped.select(F.col("node").alias(side), F.col("skipped").alias(f"s{side}")), side, "left")
+                else:
+                    near = near.withColumn(f"s{side}", F.lit(0))
+            least = lambda z: f"f{z} - (n{z} * {den - num} div {num}) - coalesce(s{z}, 0)"
+            near = near.where(f"m * {part} >= if(na <= nb, {least('a')}, {least('b')})")
+        near, path = store(near.select("a", "b").distinct(), "near")
         release(spark)
         ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
         sets, sets_path = store(of(ends, _elements(k), "node long, elements binary"), "sets")
         x = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
         y = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
         out = store(near.join(x, "a").join(y, "b").mapInArrow(_verified(num, den), "a long, b long"), "links")
-        drop(spark, path, pairs_path, sets_path)
+        drop(spark, path, sets_path)
         release(spark)
         return out
 
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # stars: every member with the smallest of its group
-    first, first_path = links(multi.where("node <> centre").select(*ordered("node", "centre")).distinct())
+    first, first_path = links(multi.where("node <> centre").groupBy(*ordered("node", "centre")).agg(F.count("*").alias("m")), part=4)
     label = components(first, rounds=4)
     tagged = multi.join(sized(label), "node", "left").select("sig", "node", "own", F.coalesce("label", "node").alias("label")).repartition(parts, "sig")
     # what lies in several components
@@ -323,12 +314,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     mixed, mixed_path = store(tagged.join(groups, "sig"), "mixed")
     release(spark)
     cold, hot = mixed.where(f"others <= {HOT}"), mixed.where(f"others > {HOT}")
-    few = cold.where("label <> main").select("sig", F.col("node").alias("x"), F.col("label").alias("lx"))
-    all_ = cold.select("sig", F.col("node").alias("y"), F.col("label").alias("ly"))
-    second, second_path = links(few.join(all_, "sig").where("lx <> ly").select(*ordered("x", "y")).distinct())
+    mine, mine_path = store(hot.where("own").groupBy("node").agg(F.count("*").alias("skipped"), F.collect_set("sig").alias("hot")), "skipped")
+    few = cold.where("label <> main").select("sig", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"))
+    all_ = cold.select("sig", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("own").alias("oy"), (F.col("label") == F.col("main")).alias("large"))
+    # each shared segment of the smaller set's band counts once
+    meet = few.join(all_, "sig").where("lx <> ly and (ox or oy) and (large or x < y)")
+    second, second_path = links(meet.groupBy(*ordered("x", "y")).agg(F.count("*").alias("m")), skipped=mine)
     found, paths = [first, second], [first_path, second_path]
     # sets whose skipped hot segments leave too few counts
-    mine = hot.where("own").groupBy("node").agg(F.count("*").alias("skipped"), F.collect_set("sig").alias("hot"))
     lacking = mine.join(brief.select("node", "n", "full"), "node")
     lacking = lacking.select("node", "hot", (F.floor(F.col("n") * (den - num) / num) + 1 - F.col("full") + F.col("skipped")).cast("long").alias("lacks")).where("lacks > 0")
     lacking, lacking_path = store(lacking, "lacking")
@@ -353,7 +346,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     for more in found[1:]:
         linked = linked.unionByName(more)
     ends, ends_path = store(components(linked), "components")
-    drop(spark, *paths, mixed_path, lacking_path, brief_path, multi_path, spare_path)
+    drop(spark, *paths, mixed_path, mine_path, lacking_path, brief_path, multi_path, spare_path)
     ids = classes.join(ends, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
     lowest = ids.groupBy("label").agg(F.min("rep").alias("low"))
     final, _ = store(ids.join(lowest, "label").select("node", "low"), "final")
