@@ -158,7 +158,7 @@ def payloads(docs: DataFrame) -> DataFrame:
 
     def write(batches):
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column("text"), 4 << 20):
+            for a, b, data, offsets in slices(batch.column("text"), 1 << 20):
                 sizes, out = np.diff(offsets), []
                 for i, n in enumerate(sizes.tolist()):
                     padded = np.full(max(UNIT, -(-n // UNIT) * UNIT), PAD, np.uint8)

@@ -38,7 +38,7 @@ from .work import drop, pick, release, sized, store
 #: A group is hot if more than this many members lie outside its largest component.
 HOT = 24
 #: Bytes of text handled at once.
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 
 
 class Bands:
@@ -205,34 +205,33 @@ def _verified(num, den):
 
 
 def _deletions(bands, whole):
-    """Exact (kind 0) and one-deletion (kind 1) signatures of sets with hot groups: all full segments for the index, else as many as lack."""
+    """Exact (kind 0) and one-deletion (kind 1) signatures of sets with hot groups: all full segments for the index, else as many as lack; kind 2 marks a set with too few."""
+
+    def rows(sig, kind, node):
+        return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.full(len(sig), kind, np.int32)), pa.array(np.full(len(sig), node, np.int64))], ["sig", "kind", "node"])
 
     def run(batches):
         for batch in batches:
-            out = []
-            for node, raw, hot, lacks in zip(*(batch.column(c).to_pylist() for c in ("node", "elements", "hot", "lacks")), strict=True):
+            for i in range(batch.num_rows):
+                node, raw, hot, lacks = (batch.column(c)[i].as_py() for c in ("node", "elements", "hot", "lacks"))
                 s = np.frombuffer(raw, np.uint64)
-                avoid = set(hot or ())
                 for band in bands.reach(len(s)) if whole else [bands.of(len(s))]:
                     seg, sizes, sums = subsets(s, band, bands.segments(band))
                     full = np.flatnonzero(sizes if whole else sizes >= 2)
                     exact = signature(sums[full], sizes[full], full, band)
-                    pick_ = np.ones(len(full), bool)
+                    chosen = np.ones(len(full), bool)
                     if not whole:
-                        cold = np.array([x not in avoid for x in exact.view(np.int64).tolist()], bool)
+                        cold = ~np.isin(exact.view(np.int64), np.array(hot or [], np.int64))
                         order = np.argsort(-sizes[full], kind="stable")
-                        pick_ = np.zeros(len(full), bool)
-                        pick_[order[cold[order]][:lacks]] = True
-                    out += [(x, 0, node) for x in exact[pick_].view(np.int64).tolist()]
-                    chosen = np.zeros(len(sizes), bool)
-                    chosen[full[pick_]] = True
-                    rest = np.flatnonzero(chosen[seg] & (sizes[seg] > 1))
-                    less = signature(sums[seg[rest]] - mix(s[rest] ^ np.uint64(0xA5A5A5A5)), sizes[seg[rest]] - 1, seg[rest], band)
-                    out += [(x, 1, node) for x in less.view(np.int64).tolist()]
-                    if not whole and int(pick_.sum()) < lacks:
-                        out.append((0, 2, node))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64()), strict=True)], ["sig", "kind", "node"])
+                        chosen = np.zeros(len(full), bool)
+                        chosen[order[cold[order]][:lacks]] = True
+                        if int(chosen.sum()) < lacks:
+                            yield rows(np.zeros(1, np.uint64), 2, node)
+                    yield rows(exact[chosen], 0, node)
+                    mine = np.zeros(len(sizes), bool)
+                    mine[full[chosen]] = True
+                    rest = np.flatnonzero(mine[seg] & (sizes[seg] > 1))
+                    yield rows(signature(sums[seg[rest]] - mix(s[rest] ^ np.uint64(0xA5A5A5A5)), sizes[seg[rest]] - 1, seg[rest], band), 1, node)
 
     return run
 
