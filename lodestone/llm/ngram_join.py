@@ -8,7 +8,9 @@ deletion (counts 2), and a partner is never missed while the counts sum to more
 
 * Sets fall into size bands of ratio t. A set indexes the segment subsets of its own band
   (as the smaller side) and of the band below (as the larger side of a pair).
-* n is a fifth above H + 1, so that empty segments can be skipped without a loss.
+* n is at least a fifth above H + 1 and large enough that a set fills H or fewer segments with a
+  probability below e^-25 (a union bound), so that empty segments can be skipped: two linked sets
+  share a full segment.
 * Cost-based allocation: segment subsets that very many sets share (a common passage) are
   hot and skipped. A set that lacks counts then allows one deletion in as many of its other
   segments as it needs, largest first; what still lacks counts is compared with all members
@@ -26,6 +28,8 @@ Sets and classes are held as 64-bit hashes.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,6 +54,7 @@ class Bands:
         while self.tops[-1] < 1 << 40:
             self.tops.append(max(self.tops[-1] + 1, self.tops[-1] * den // num))
         self.edges = np.array(self.tops, np.int64)
+        self.counts: dict[int, int] = {}
 
     def of(self, size: int) -> int:
         return int(np.searchsorted(self.edges, size))
@@ -59,7 +64,21 @@ class Bands:
         return size * (self.den - self.num) // self.num
 
     def segments(self, band: int) -> int:
-        return (self.most(self.tops[band]) + 1) * 6 // 5 + 1
+        if band not in self.counts:
+            n = (self.most(self.tops[band]) + 1) * 6 // 5 + 1
+            while not self.fills(band, n):
+                n += n // 50 + 1
+            self.counts[band] = n
+        return self.counts[band]
+
+    def fills(self, band: int, n: int) -> bool:
+        """Whether sets of the band's least and largest size fill more than ``most`` of n segments, but for e^-25."""
+        for size in (self.tops[band - 1] + 1 if band else 1, self.tops[band]):
+            if most := self.most(size):
+                ways = math.lgamma(n + 1) - math.lgamma(most + 1) - math.lgamma(n - most + 1)
+                if ways + size * math.log(most / n) > -25:
+                    return False
+        return True
 
     def reach(self, size: int) -> list[int]:
         """The set's own band and those below that may hold a smaller partner."""
@@ -72,13 +91,12 @@ def digest(own: np.ndarray) -> int:
     return int(mix(np.array([mix(own).sum(dtype=np.uint64) + np.uint64(len(own))], np.uint64)).view(np.int64)[0])
 
 
-def subsets(own: np.ndarray, band: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Segment of each element; for each segment its size and the sum of its mixed elements."""
-    seg = ((own >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
-    sizes = np.bincount(seg, minlength=n)
-    sums = np.zeros(n, np.uint64)
-    np.add.at(sums, seg, mix(own ^ np.uint64(0xA5A5A5A5)))
-    return seg, sizes, sums
+def subsets(own: np.ndarray, band: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Full segments, the place among them of each element, and of each its size and the sum of its mixed elements."""
+    full, place = np.unique(((own >> np.uint64(20)) % np.uint64(n)).astype(np.int64), return_inverse=True)
+    sums = np.zeros(len(full), np.uint64)
+    np.add.at(sums, place, mix(own ^ np.uint64(0xA5A5A5A5)))
+    return full, place, np.bincount(place, minlength=len(full)), sums
 
 
 def signature(sums: np.ndarray, sizes: np.ndarray, segs: np.ndarray, band: int) -> np.ndarray:
@@ -112,9 +130,8 @@ def _index(bands, k, parts):
                     continue
                 seen.add(node)
                 for j, band in enumerate(bands.reach(len(s))):
-                    _, sizes, sums = subsets(s, band, bands.segments(band))
-                    full = np.flatnonzero(sizes)
-                    sigs.append(signature(sums[full], sizes[full], full, band))
+                    full, _, sizes, sums = subsets(s, band, bands.segments(band))
+                    sigs.append(signature(sums, sizes, full, band))
                     who.append(np.full(len(full), len(nodes), np.int32))
                     mine.append(np.full(len(full), j == 0))
                 nodes.append(node)
@@ -172,7 +189,7 @@ def _brief(bands, k):
 
     def run(batches):
         for _, sets in _sets(batches, k):
-            rows = [(digest(s), len(s), int(np.count_nonzero(subsets(s, b := bands.of(len(s)), bands.segments(b))[1]))) for s in sets if len(s)]
+            rows = [(digest(s), len(s), len(subsets(s, b := bands.of(len(s)), bands.segments(b))[0])) for s in sets if len(s)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64()), strict=True)], ["node", "n", "full"])
 
@@ -216,22 +233,20 @@ def _deletions(bands, whole):
                 node, raw, hot, lacks = (batch.column(c)[i].as_py() for c in ("node", "elements", "hot", "lacks"))
                 s = np.frombuffer(raw, np.uint64)
                 for band in bands.reach(len(s)) if whole else [bands.of(len(s))]:
-                    seg, sizes, sums = subsets(s, band, bands.segments(band))
-                    full = np.flatnonzero(sizes if whole else sizes >= 2)
-                    exact = signature(sums[full], sizes[full], full, band)
+                    full, place, sizes, sums = subsets(s, band, bands.segments(band))
+                    exact = signature(sums, sizes, full, band)
                     chosen = np.ones(len(full), bool)
                     if not whole:
-                        cold = ~np.isin(exact.view(np.int64), np.array(hot or [], np.int64))
-                        order = np.argsort(-sizes[full], kind="stable")
+                        usable = (sizes >= 2) & ~np.isin(exact.view(np.int64), np.array(hot or [], np.int64))
+                        order = np.argsort(-sizes, kind="stable")
                         chosen = np.zeros(len(full), bool)
-                        chosen[order[cold[order]][:lacks]] = True
+                        chosen[order[usable[order]][:lacks]] = True
                         if int(chosen.sum()) < lacks:
                             yield rows(np.zeros(1, np.uint64), 2, node)
                     yield rows(exact[chosen], 0, node)
-                    mine = np.zeros(len(sizes), bool)
-                    mine[full[chosen]] = True
-                    rest = np.flatnonzero(mine[seg] & (sizes[seg] > 1))
-                    yield rows(signature(sums[seg[rest]] - mix(s[rest] ^ np.uint64(0xA5A5A5A5)), sizes[seg[rest]] - 1, seg[rest], band), 1, node)
+                    rest = np.flatnonzero((chosen & (sizes > 1))[place])
+                    at = place[rest]
+                    yield rows(signature(sums[at] - mix(s[rest] ^ np.uint64(0xA5A5A5A5)), sizes[at] - 1, full[at], band), 1, node)
 
     return run
 

@@ -36,7 +36,21 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def test_components(odd):
+def test_segments():
+    """Pairs at the threshold, made of few shingles too, share a full segment."""
+    bands, rng = ngram_join.Bands(75, 100), np.random.default_rng(0)
+    for size, more in ((3, 1), (6, 2), (9, 3), (24, 8), (300, 100)):
+        for _ in range(300):
+            large = rng.integers(0, 1 << 63, size + more, dtype=np.uint64)
+            band = bands.of(size)
+            found = [ngram_join.subsets(x, band, bands.segments(band)) for x in (large[:size], large)]
+            a, b = (set(ngram_join.signature(sums, sizes, full, band).tolist()) for full, _, sizes, sums in found)
+            assert a & b and len(found[0][0]) > bands.most(size)
+
+
+@pytest.mark.parametrize("hot", [ngram_join.HOT, 0])
+def test_components(odd, hot, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT", hot)  # 0: every group counts as a crowd
     rows = [(r.doc_id, shingles(r.text)) for r in odd.collect()]
     root = list(range(len(rows)))
 
