@@ -222,7 +222,7 @@ def _verified(num, den):
 
 
 def _deletions(bands, whole):
-    """Exact (kind 0) and one-deletion (kind 1) signatures of sets with hot groups: all full segments for the index, else as many as lack; kind 2 marks a set with too few."""
+    """Exact (kind 0) and one-deletion (kind 1) signatures of sets with hot groups: all full segments, of bands with a hot group of a set that lacks counts, for the index, else as many as lack; kind 2 marks a set with too few."""
 
     def rows(sig, kind, node):
         return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.full(len(sig), kind, np.int32)), pa.array(np.full(len(sig), node, np.int64))], ["sig", "kind", "node"])
@@ -236,6 +236,8 @@ def _deletions(bands, whole):
                     full, place, sizes, sums = subsets(s, band, bands.segments(band))
                     exact = signature(sums, sizes, full, band)
                     chosen = np.ones(len(full), bool)
+                    if whole and not np.isin(exact.view(np.int64), np.array(hot, np.int64)).any():
+                        continue
                     if not whole:
                         usable = (sizes >= 2) & ~np.isin(exact.view(np.int64), np.array(hot or [], np.int64))
                         order = np.argsort(-sizes, kind="stable")
@@ -341,9 +343,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     lacking, lacking_path = store(lacking, "lacking")
     if not lacking.isEmpty():
         bare = "sig long, kind int, node long"
-        whole_sets, whole_path = store(of(hot.select("node").distinct(), _elements(k), "node long, elements binary"), "hot-sets")
-        need, need_path = store(lacking.join(whole_sets, "node").mapInArrow(_deletions(bands, False), bare), "need")
-        members = whole_sets.withColumns({"hot": F.lit(None).cast("array<long>"), "lacks": F.lit(0).cast("long")})
+        # a linked set shares a full segment with the one that lacks counts: a cold one was met above, so it is in a hot group of that set
+        crowds = lacking.select(F.explode("hot").alias("sig")).distinct()
+        members, members_path = store(hot.join(crowds, "sig", "left_semi").groupBy("node").agg(F.collect_set("sig").alias("hot")), "members")
+        whole_sets, whole_path = store(of(members.select("node"), _elements(k), "node long, elements binary"), "hot-sets")
+        asking = whole_sets.join(sized(lacking.select("node")), "node", "left_semi")
+        need, need_path = store(lacking.join(asking, "node").mapInArrow(_deletions(bands, False), bare), "need")
+        members = members.join(whole_sets, "node").withColumn("lacks", F.lit(0).cast("long"))
         against = members.mapInArrow(_deletions(bands, True), bare).join(need.select("sig").distinct(), "sig", "left_semi")
         against, against_path = store(against, "against")
         crowd = against.groupBy("sig", "kind").agg(F.count("*").alias("m")).where(f"m > {HOT}")
@@ -355,7 +361,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
         whole = hot.where("own").join(last.select(F.col("x").alias("node")), "node").select("sig", F.col("node").alias("x"), F.col("label").alias("lx")).join(hot.select("sig", F.col("node").alias("y"), F.col("label").alias("ly")), "sig").where("lx <> ly")
         third, third_path = links(usual.where("x <> y").select(*ordered("x", "y")).union(whole.select(*ordered("x", "y"))).distinct())
         found.append(third)
-        paths += [third_path, need_path, against_path, last_path, whole_path]
+        paths += [third_path, need_path, against_path, last_path, whole_path, members_path]
     linked = found[0]
     for more in found[1:]:
         linked = linked.unionByName(more)
