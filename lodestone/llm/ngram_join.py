@@ -12,9 +12,11 @@ deletion (counts 2), and a partner is never missed while the counts sum to more
   probability below e^-25 (a union bound), so that empty segments can be skipped: two linked sets
   share a full segment.
 * Cost-based allocation: segment subsets that very many sets share (a common passage) are
-  hot and skipped. A set that lacks counts then allows one deletion in as many of its other
-  segments as it needs, largest first; what still lacks counts is compared with all members
-  of its hot groups. Nothing is capped.
+  hot and skipped. If a set then lacks counts, the members of its hot groups are indexed again in
+  the finest partition, a segment for each element, of which the smaller set of a pair may miss
+  a seventh (at t = 0.75) and six sevenths may be hot. A set that still lacks counts allows one deletion in as many of its other segments as it needs, largest first;
+  a set for which that is not enough is compared with the members of its smallest hot groups, as
+  many groups as it lacks counts. Nothing is capped.
 * Groups are linked in stars first and joined into components; only members of different
   components are compared after that, so a large group of near copies costs its size, not
   its square. Every link between sets of different components is found, so the components
@@ -32,7 +34,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytes_np import mix, shingle_sets, slices
@@ -119,7 +121,8 @@ def _classes(k):
 
 
 def _index(bands, k, parts):
-    """Rows (bucket, own, sigs, nodes, counts): the signatures of a block of texts, dealt by their hash, each bucket run by run of a node."""
+    """Rows (bucket, own, sigs, nodes, counts): the signatures of a block of texts, dealt by their hash, each bucket run by run of a node.
+    Without bands every element is a segment of its own."""
 
     def run(batches):
         for _, sets in _sets(batches, k):
@@ -129,7 +132,11 @@ def _index(bands, k, parts):
                 if not len(s) or (node := digest(s)) in seen:
                     continue
                 seen.add(node)
-                for j, band in enumerate(bands.reach(len(s))):
+                if bands is None:
+                    sigs.append(mix(s))
+                    who.append(np.full(len(s), len(nodes), np.int32))
+                    mine.append(np.ones(len(s), bool))
+                for j, band in enumerate(bands.reach(len(s)) if bands else ()):
                     full, _, sizes, sums = subsets(s, band, bands.segments(band))
                     sigs.append(signature(sums, sizes, full, band))
                     who.append(np.full(len(full), len(nodes), np.int32))
@@ -185,13 +192,13 @@ def _shared(batches):
 
 
 def _brief(bands, k):
-    """Size and, for the own band, number of full segments of a set."""
+    """Size of a set and how many full segments of its own band a larger linked set must share."""
 
     def run(batches):
         for _, sets in _sets(batches, k):
-            rows = [(digest(s), len(s), len(subsets(s, b := bands.of(len(s)), bands.segments(b))[0])) for s in sets if len(s)]
+            rows = [(digest(s), len(s), len(subsets(s, b := bands.of(len(s)), bands.segments(b))[0]) - bands.most(len(s))) for s in sets if len(s)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64()), strict=True)], ["node", "n", "full"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64()), strict=True)], ["node", "n", "need"])
 
     return run
 
@@ -275,29 +282,34 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     spare = every.where("n > 0").join(sized(repeated, limit=200_000), "node").where(~F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id").where("doc_id is not null").distinct()
     spare, spare_path = store(spare.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "spare")
     texts = docs.join(sized(spare), "doc_id", "left_anti")
-    index = texts.mapInArrow(_index(bands, k, parts), "bucket int, own boolean, sigs binary, nodes binary, counts binary")
-    multi, multi_path = store(index.repartition(parts, "bucket").mapInArrow(_shared, "sig long, node long, own boolean, centre long"), "shared")
-    del index
+
+    def shared(texts: DataFrame, bands: Bands | None) -> tuple[DataFrame, str]:
+        index = texts.mapInArrow(_index(bands, k, parts), "bucket int, own boolean, sigs binary, nodes binary, counts binary")
+        return store(index.repartition(parts, "bucket").mapInArrow(_shared, "sig long, node long, own boolean, centre long"), "shared")
+
+    multi, multi_path = shared(texts, bands)
     release(spark)
     twice = not every.where("n > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
 
+    def held(nodes: DataFrame) -> DataFrame:
+        """The texts of these nodes, one a node; a repeated or null id may stand for further texts."""
+        some = nodes.join(classes.where("rep is not null"), "node").select(F.col("rep").alias("doc_id")).distinct()
+        texts = docs.join(sized(some), "doc_id", "left_semi")
+        return texts.unionByName(docs.where("doc_id is null")) if twice else texts
+
     def of(nodes: DataFrame, run, schema: str) -> DataFrame:
         """What ``run`` makes of the texts of these nodes, one text a node."""
-        some = nodes.join(classes, "node").select("node", "rep")
-        held = docs.join(sized(some.where("rep is not null").select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
-        held = held.unionByName(docs.where("doc_id is null")) if twice else held
-        out = held.mapInArrow(run, schema)
-        # a repeated or null id may stand for several texts
-        return out.join(some.select("node"), "node", "left_semi").dropDuplicates(["node"]) if twice else out
-
-    brief, brief_path = store(of(multi.select("node").distinct(), _brief(bands, k), "node long, n long, full long"), "brief")
+        out = held(nodes).mapInArrow(run, schema)
+        return out.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]) if twice else out
+
+    brief, brief_path = store(of(multi.select("node").distinct(), _brief(bands, k), "node long, n long, need long"), "brief")
     release(spark)
 
-    def links(pairs: DataFrame, part: int = 1, skipped: DataFrame | None = None) -> tuple[DataFrame, str]:
+    def links(pairs: DataFrame, brief: DataFrame, part: int = 1, skipped: DataFrame | None = None) -> tuple[DataFrame, str]:
         """Those of the pairs (a < b) that reach the threshold. With ``m``, how many segments of the
         smaller set's band a pair shares, those go that share less than a link must (over ``part``)."""
-        x = brief.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("full").alias("fa"))
-        y = brief.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("full").alias("fb"))
+        x = brief.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("need").alias("fa"))
+        y = brief.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("need").alias("fb"))
         near = pairs.join(x, "a").join(y, "b").where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}")
         if "m" in pairs.columns:
             for side in "ab":
@@ -305,8 +317,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
                     near = near.join(skipped.select(F.col("node").alias(side), F.col("skipped").alias(f"s{side}")), side, "left")
                 else:
                     near = near.withColumn(f"s{side}", F.lit(0))
-            least = lambda z: f"f{z} - (n{z} * {den - num} div {num}) - coalesce(s{z}, 0)"
-            near = near.where(f"m * {part} >= if(na <= nb, {least('a')}, {least('b')})")
+            near = near.where(f"m * {part} >= if(na <= nb, fa - coalesce(sa, 0), fb - coalesce(sb, 0))")
         near, path = store(near.select("a", "b").distinct(), "near")
         release(spark)
         ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
@@ -320,32 +331,84 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
 
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # stars: every member with the smallest of its group
-    first, first_path = links(multi.where("node <> centre").groupBy(*ordered("node", "centre")).agg(F.count("*").alias("m")), part=4)
-    label = components(first, rounds=4)
-    tagged = multi.join(sized(label), "node", "left").select("sig", "node", "own", F.coalesce("label", "node").alias("label")).repartition(parts, "sig")
-    # what lies in several components
-    groups = tagged.groupBy("sig", "label").agg(F.count("*").alias("m"))
-    groups = groups.groupBy("sig").agg(F.sum("m").alias("m"), F.max(F.struct("m", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-    groups = groups.select("sig", F.col("top.label").alias("main"), (F.col("m") - F.col("top.m")).alias("others"))
-    mixed, mixed_path = store(tagged.join(groups, "sig"), "mixed")
-    release(spark)
-    cold, hot = mixed.where(f"others <= {HOT}"), mixed.where(f"others > {HOT}")
-    mine, mine_path = store(hot.where("own").groupBy("node").agg(F.count("*").alias("skipped"), F.collect_set("sig").alias("hot")), "skipped")
-    few = cold.where("label <> main").select("sig", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"))
-    all_ = cold.select("sig", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("own").alias("oy"), (F.col("label") == F.col("main")).alias("large"))
-    # each shared segment of the smaller set's band counts once
-    meet = few.join(all_, "sig").where("lx <> ly and (ox or oy) and (large or x < y)")
-    second, second_path = links(meet.groupBy(*ordered("x", "y")).agg(F.count("*").alias("m")), skipped=mine)
-    found, paths = [first, second], [first_path, second_path]
-    # sets whose skipped hot segments leave too few counts
-    lacking = mine.join(brief.select("node", "n", "full"), "node")
-    lacking = lacking.select("node", "hot", (F.floor(F.col("n") * (den - num) / num) + 1 - F.col("full") + F.col("skipped")).cast("long").alias("lacks")).where("lacks > 0")
-    lacking, lacking_path = store(lacking, "lacking")
+    first, first_path = links(multi.where("node <> centre").groupBy(*ordered("node", "centre")).agg(F.count("*").alias("m")), brief, part=4)
+    found, paths = [first], [first_path, multi_path, brief_path]
+
+    def joined() -> DataFrame:
+        """All links found so far."""
+        linked = found[0]
+        for more in found[1:]:
+            linked = linked.unionByName(more)
+        return linked
+
+    def apart(rows: DataFrame) -> tuple[DataFrame, str]:
+        """Rows (sig, node, own) of the groups that lie in several components, with their label, the group's largest (main), its size (m) and its members outside the largest (others)."""
+        label = components(joined(), rounds=4)
+        tagged = rows.join(sized(label), "node", "left").select("sig", "node", "own", F.coalesce("label", "node").alias("label")).repartition(parts, "sig")
+        groups = tagged.groupBy("sig", "label").agg(F.count("*").alias("m"))
+        groups = groups.groupBy("sig").agg(F.sum("m").alias("m"), F.max(F.struct("m", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+        groups = groups.select("sig", F.col("top.label").alias("main"), "m", (F.col("m") - F.col("top.m")).alias("others"))
+        out = store(tagged.join(groups, "sig"), "mixed")
+        release(spark)
+        return out
+
+    def meet(multi: DataFrame, brief: DataFrame, central: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Links what shares a cold group across components. Returns the rows of hot groups, how many of them a set has (node, skipped, hot), and the sets that lack counts (node, hot, lacks)."""
+        mixed, mixed_path = apart(multi.drop("centre"))
+        hot = mixed.where(f"others > {HOT}")
+        if central and not hot.isEmpty():
+            # stars again, around the member whose segments most others share: near copies of one text are nearest to it
+            score = hot.where("own").groupBy("node").agg(F.sum("m").alias("score"))
+            middle = hot.join(score, "node").groupBy("sig").agg(F.max(F.struct("score", "node", "label")).alias("c")).select("sig", F.col("c.node").alias("centre"), F.col("c.label").alias("lc"))
+            star, star_path = links(hot.join(middle, "sig").where("label <> lc").select(*ordered("node", "centre")).distinct(), brief)
+            found.append(star)
+            mixed, again_path = apart(mixed.select("sig", "node", "own"))
+            drop(spark, mixed_path)
+            paths.append(star_path)
+            mixed_path = again_path
+        cold, hot = mixed.where(f"others <= {HOT}"), mixed.where(f"others > {HOT}")
+        mine, mine_path = store(hot.where("own").groupBy("node").agg(F.count("*").alias("skipped"), F.collect_set("sig").alias("hot")), "skipped")
+        few = cold.where("label <> main").select("sig", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"))
+        all_ = cold.select("sig", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("own").alias("oy"), (F.col("label") == F.col("main")).alias("large"))
+        # each shared segment of the smaller set's band counts once
+        pairs = few.join(all_, "sig").where("lx <> ly and (ox or oy) and (large or x < y)")
+        more, more_path = links(pairs.groupBy(*ordered("x", "y")).agg(F.count("*").alias("m")), brief, skipped=mine)
+        # sets whose skipped hot segments leave too few counts
+        lacking = mine.join(brief, "node")
+        lacking = lacking.select("node", "hot", (F.col("skipped") - F.col("need") + 1).alias("lacks")).where("lacks > 0")
+        lacking, lacking_path = store(lacking, "lacking")
+        found.append(more)
+        paths.extend((more_path, mixed_path, mine_path, lacking_path))
+        return hot, mine, lacking
+
+    def crowded(hot: DataFrame, lacking: DataFrame) -> tuple[DataFrame, str]:
+        """Members (node, hot) of the hot groups of sets that lack counts. A linked set shares a full segment with
+        such a set: a cold one was met, so it is in a hot group of that set."""
+        crowds = lacking.select(F.explode("hot").alias("sig")).distinct()
+        return store(hot.join(crowds, "sig", "left_semi").groupBy("node").agg(F.collect_set("sig").alias("hot")), "members")
+
+    hot, _, lacking = meet(multi, brief, central=True)
+    if not lacking.isEmpty():
+        members, members_path = crowded(hot, lacking)
+        again, again_path = shared(held(members.select("node")), None)
+        # two sets of at least n elements that link share 2t / (1 + t) of n
+        finer = brief.withColumn("need", F.expr(f"(2 * {num} * n + {num + den - 1}) div {num + den}"))
+        release(spark)
+        _, common, still = meet(again, finer)
+        drop(spark, members_path)
+        # pairs that share a cold element were met: what other pairs share are hot elements, so a larger set must have num / den of its own hot
+        common = common.join(finer, "node").where(f"skipped * {den} >= {num} * n").select("node", "n", F.col("skipped").alias("common"))
+        common, common_path = store(common, "common")
+        hot, hot_path = apart(hot.join(common.select("node"), "node", "left_semi").select("sig", "node", "own"))
+        # groups that went need no allowance
+        left = hot.where("own").groupBy("node").agg(F.collect_set("sig").alias("kept"))
+        lacking = lacking.join(still.select("node"), "node", "left_semi").join(left, "node")
+        lacking = lacking.select("node", F.col("kept").alias("hot"), (F.col("lacks") - F.size("hot") + F.size("kept")).alias("lacks")).where("lacks > 0")
+        lacking, lacking_path = store(lacking, "lacking")
+        paths += [again_path, lacking_path, common_path, hot_path]
     if not lacking.isEmpty():
         bare = "sig long, kind int, node long"
-        # a linked set shares a full segment with the one that lacks counts: a cold one was met above, so it is in a hot group of that set
-        crowds = lacking.select(F.explode("hot").alias("sig")).distinct()
-        members, members_path = store(hot.join(crowds, "sig", "left_semi").groupBy("node").agg(F.collect_set("sig").alias("hot")), "members")
+        members, members_path = crowded(hot, lacking)
         whole_sets, whole_path = store(of(members.select("node"), _elements(k), "node long, elements binary"), "hot-sets")
         asking = whole_sets.join(sized(lacking.select("node")), "node", "left_semi")
         need, need_path = store(lacking.join(asking, "node").mapInArrow(_deletions(bands, False), bare), "need")
@@ -354,19 +417,23 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
         against, against_path = store(against, "against")
         crowd = against.groupBy("sig", "kind").agg(F.count("*").alias("m")).where(f"m > {HOT}")
         asked = need.where("kind < 2").select("sig", (1 - F.col("kind")).alias("kind"), F.col("node").alias("x"))
-        # a deletion that meets a crowd: its set is compared with its hot groups instead, as are sets with too few segments
+        # a deletion that meets a crowd: its set is compared with hot groups instead, as are sets with too few segments
         last = asked.join(crowd, ["sig", "kind"], "left_semi").select("x").union(need.where("kind = 2").select(F.col("node").alias("x"))).distinct()
         last, last_path = store(last, "last")
         usual = asked.join(last, "x", "left_anti").join(against.select("sig", "kind", F.col("node").alias("y")), ["sig", "kind"])
-        whole = hot.where("own").join(last.select(F.col("x").alias("node")), "node").select("sig", F.col("node").alias("x"), F.col("label").alias("lx")).join(hot.select("sig", F.col("node").alias("y"), F.col("label").alias("ly")), "sig").where("lx <> ly")
-        third, third_path = links(usual.where("x <> y").select(*ordered("x", "y")).union(whole.select(*ordered("x", "y"))).distinct())
+        # of its hot groups, it must share all but ``lacks`` less one with a linked set
+        rare = hot.where("own").join(last.select(F.col("x").alias("node")).join(lacking.select(F.col("node"), "lacks"), "node"), "node")
+        rare = rare.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("m", "sig"))).where("rank <= lacks")
+        whole = rare.select("sig", F.col("node").alias("x"), F.col("label").alias("lx")).join(hot.select("sig", F.col("node").alias("y"), F.col("label").alias("ly")), "sig").where("lx <> ly")
+        pairs = usual.where("x <> y").select(*ordered("x", "y")).union(whole.select(*ordered("x", "y"))).distinct()
+        for side in "ab":
+            pairs = pairs.join(common.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("common").alias(f"c{side}")), side)
+        pairs = pairs.where(f"least(ca, cb) * {num + den} >= {num} * (na + nb)").select("a", "b")
+        third, third_path = links(pairs, brief)
         found.append(third)
         paths += [third_path, need_path, against_path, last_path, whole_path, members_path]
-    linked = found[0]
-    for more in found[1:]:
-        linked = linked.unionByName(more)
-    ends, ends_path = store(components(linked), "components")
-    drop(spark, *paths, mixed_path, mine_path, lacking_path, brief_path, multi_path, spare_path)
+    ends, ends_path = store(components(joined()), "components")
+    drop(spark, *paths, spare_path)
     ids = classes.join(ends, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
     lowest = ids.groupBy("label").agg(F.min("rep").alias("low"))
     final, _ = store(ids.join(lowest, "label").select("node", "low"), "final")
