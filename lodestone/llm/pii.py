@@ -44,7 +44,6 @@ PROPOSE = (
 )
 NAMES = tuple(k for k, _ in PROPOSE)
 CUES = re.compile(r"(?i)pass|secret|token|key|mail|phone|tel|call|ssn|social|iban|account|card|born|birth|contact|login|id\b")
-HINT = re.compile(r"[0-9]|(?i:secret|token|passw|pwd| at )|[A-Z]{4}")
 
 
 def luhn(digits: str) -> bool:
@@ -139,11 +138,10 @@ class Finder:
         """For each text its base spans and the further accepted ones."""
         base, asked, owner, x = [], [], [], []
         for i, text in enumerate(texts):
-            hint = HINT.search(text)
-            found = base_spans(text) if hint or "@" in text else {k: [] for k in KINDS}
+            found = base_spans(text)
             base.append(found)
             taken = sorted(s for v in found.values() for s in v)
-            for kind, pattern in PROPOSE if hint else ():
+            for kind, pattern in PROPOSE:
                 for m in pattern.finditer(text):
                     a, b = m.span()
                     if not any(c < b and a < d for c, d in taken):

@@ -130,6 +130,21 @@ def test_personal_data(odd):
     assert pii.personal_data(odd, 500).count() == odd.count()
 
 
+def test_personal_data_without_digits(spark):
+    """Every generator's proposals are scored, whatever else a text holds; spelled-out addresses leave the text."""
+
+    class All:
+        def score(self, x):
+            return np.ones(len(x))
+
+    texts = ["write john.smith [at] example [dot] com now", "mail john.smith (at) example (dot) org today", "my api_key: abcdefgh here", "API-KEY=abcdefgh", "john at\texample", "plain prose"]
+    for text, (_, more) in zip(texts, pii.Finder(All(), 0.5).spans(texts), strict=True):
+        assert [(k, a, b) for k, a, b, _ in more] == [(k, *m.span()) for k, p in pii.PROPOSE for m in p.finditer(text)]
+    docs = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (3, texts[5])], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pii.redacted(docs).collect()} == {1: "write [SPELLED] now", 2: "mail [SPELLED] today", 3: "plain prose"}
+    assert {r.doc_id: bool(r.spans) for r in pii.personal_data(docs).collect()} == {1: True, 2: True, 3: False}
+
+
 def test_notices(spark, odd):
     docs = spark.createDataFrame([(1, "x All-rights RESERVED cc by"), (2, "under the GNU Genral Public Licence"), (3, None), (4, "plain prose")], "doc_id long, text string")
     got = {r.doc_id: r for r in notices.scan(docs).collect()}
