@@ -5,7 +5,8 @@ propose spans that may overlap: keys and assigned secrets, spelled-out addresses
 numbers, national numbers, bare dates and long digit runs. Trees trained on seeded examples
 of each kind and of look-alikes score every proposal by its format and what stands around;
 the threshold is the lowest that keeps 99 % precision on held-out examples. Of overlapping
-accepted proposals the best stays, and none may overlap a base span.
+accepted proposals the best stays, and none may overlap a base span; of a secret, the parts
+outside base and better spans stay, so that all of its value goes.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 #: Generators of proposals: kind and pattern. All are linear in the text.
 PROPOSE = (
     ("key", re.compile(r"(?<![A-Za-z0-9])[A-Z]{4}[A-Z0-9]{16}(?![A-Za-z0-9])")),
-    ("secret", re.compile(r"(?i)(?<![a-z])(?:password|passwd|secret|token|api[_-]?key|pwd)[\x20]{0,2}[=:][\x20]{0,2}[\"']?[^\s\"']{6,80}")),
-    ("spelled", re.compile(r"(?i)(?<![a-z0-9._-])[a-z0-9._-]{2,40}[\x20]?[\[(]?[\x20]?at[\x20]?[\])]?[\x20][a-z0-9-]{2,40}[\x20]?[\[(]?[\x20]?dot[\x20]?[\])]?[\x20][a-z]{2,10}(?![a-z0-9])")),
+    ("secret", re.compile(r"(?i)(?<![a-z])(?:password|passwd|secret|token|api[_-]?key|pwd)[\x20]{0,2}[=:][\x20]{0,2}[\"']?([^\s\"']{6,})")),
+    ("spelled", re.compile(r"(?i)(?<![a-z0-9._-])[a-z0-9._-]{2,}[\x20]?[\[(]?[\x20]?at[\x20]?[\])]?[\x20][a-z0-9-]{2,}[\x20]?[\[(]?[\x20]?dot[\x20]?[\])]?[\x20][a-z]{2,10}(?![a-z0-9])")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{4}){3,7}(?:[\x20]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("national", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
     ("phone_local", re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")),
@@ -111,9 +112,10 @@ def examples(n: int = 6000, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
         lambda: "AKIA" + pool(upper + digits, 16), lambda: rng.choice(["password", "secret", "token", "api_key", "TOKEN"]) + rng.choice(["=", " = ", ": "]) + rng.choice(['"', ""]) + pool("0123456789abcdef", rng.randint(10, 40)),
         lambda: "pwd=" + pool("abcdefgh" + upper + digits + "!_", rng.randint(8, 16)), lambda: f"{word()}.{word()} at {word()} dot {rng.choice(['com', 'org', 'net', 'de'])}", lambda: f"{word()} [at] {word()} [dot] com",
         lambda: rng.choice(["DE", "FR", "ES"]) + pool(digits, 18), lambda: pool(digits, 3) + "-" + pool(digits, 2) + "-" + pool(digits, 4), lambda: f"({pool(digits, 3)}) 555-{pool(digits, 4)}", lambda: "token " + pool("0123456789abcdef", 40), lambda: "tel " + pool(digits, 10), lambda: "born " + f"19{pool(digits, 2)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}",
+        lambda: rng.choice(["token=", "secret: ", "api_key="]) + ".".join(pool("abcdefghijklmnopqrstuvwxyz" + upper + digits + "-_", rng.randint(30, 400)) for _ in range(rng.randint(2, 3))), lambda: "password=" + pool("0123456789abcdef", rng.randint(81, 600)),
     ]
     bad = [
-        lambda: "part " + pool(upper, 20), lambda: "password: " + word() + word(), lambda: f"{word()} at {word()} dot {word()}", lambda: f"look at the dot {word()}", lambda: "token: " + word() + "ing", lambda: "checksum " + pool("0123456789abcdef", 32), lambda: "serial " + pool(digits, 9), lambda: "updated " + f"20{pool(digits, 2)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}", lambda: pool(digits, 12),
+        lambda: "part " + pool(upper, 20), lambda: "password: " + word() + word(), lambda: f"{word()} at {word()} dot {word()}", lambda: f"look at the dot {word()}", lambda: "token: " + word() + "ing", lambda: "token: " + "-".join(word() for _ in range(rng.randint(15, 60))), lambda: "checksum " + pool("0123456789abcdef", 32), lambda: "serial " + pool(digits, 9), lambda: "updated " + f"20{pool(digits, 2)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}", lambda: pool(digits, 12),
         lambda: "chapter " + pool(digits, 3) + "." + pool(digits, 3) + "." + pool(digits, 4),
     ]
     x, y = [], []
@@ -130,6 +132,16 @@ def examples(n: int = 6000, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     return np.array(x), np.array(y)
 
 
+def outside(a: int, b: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span that no taken span covers."""
+    out = []
+    for c, d in sorted(s for s in taken if s[0] < b and a < s[1]):
+        if a < c:
+            out.append((a, c))
+        a = max(a, d)
+    return [*out, (a, b)] if a < b else out
+
+
 class Finder:
     def __init__(self, trees: gbdt.Trees, threshold: float):
         self.trees, self.threshold = trees, threshold
@@ -144,17 +156,23 @@ class Finder:
             for kind, pattern in PROPOSE:
                 for m in pattern.finditer(text):
                     a, b = m.span()
-                    if not any(c < b and a < d for c, d in taken):
+                    if kind == "secret" or not any(c < b and a < d for c, d in taken):
                         owner.append(i)
-                        asked.append((kind, a, b))
+                        asked.append((kind, a, b, m.start(m.lastindex or 0)))
                         x.append(features(text, kind, a, b))
         more: list[list] = [[] for _ in texts]
         if x:
             scores = self.trees.score(np.array(x))
             for j in np.lexsort(([s[1] for s in asked], -scores)):
-                kind, a, b = asked[j]
-                if scores[j] >= self.threshold and not any(c < b and a < d for _, c, d, _ in more[owner[j]]):
-                    more[owner[j]].append((kind, a, b, float(scores[j])))
+                kind, a, b, value = asked[j]
+                own = more[owner[j]]
+                if scores[j] < self.threshold:
+                    continue
+                if kind == "secret":
+                    taken = [*(s for v in base[owner[j]].values() for s in v), *((c, d) for _, c, d, _ in own)]
+                    own += [(kind, c, d, float(scores[j])) for c, d in outside(a, b, taken) if d > value]
+                elif not any(c < b and a < d for _, c, d, _ in own):
+                    own.append((kind, a, b, float(scores[j])))
         return [(f, sorted(m, key=lambda s: (s[1], s[2]))) for f, m in zip(base, more, strict=True)]
 
 

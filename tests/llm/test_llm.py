@@ -145,6 +145,22 @@ def test_personal_data_without_digits(spark):
     assert {r.doc_id: bool(r.spans) for r in pii.personal_data(docs).collect()} == {1: True, 2: True, 3: False}
 
 
+def test_personal_data_to_its_end(spark):
+    """A secret goes whole, however long and whatever it holds; so does a spelled-out address with long parts."""
+    rng = random.Random(5)
+    pool = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
+    values = [pool(mixed, n) for n in (81, 300, 2000)] + [".".join(pool(mixed, n) for n in (36, 120, 43)), pool("0123456789abcdef", 5000), pool("abcdef", 90) + "-4111111111111111-" + pool("abcdef12", 90), pool(mixed, 90) + "&email=a.b@c.de&x=" + pool(mixed, 20)]
+    docs = spark.createDataFrame([(i, f"we set token={v} here") for i, v in enumerate(values)], "doc_id long, text string")
+    for r in pii.redacted(docs).collect():
+        assert re.fullmatch(r"we set (\[[A-Z]+\])+ here", r.text), r.text
+    long_ = f"write {'jo' * 30} at {'ex' * 30} dot com now"
+    assert [(k, a, b) for k, p in pii.PROPOSE for a, b in (m.span() for m in p.finditer(long_))] == [("spelled", 6, len(long_) - 4)]
+    short = "password=hunter@example.com"
+    assert pii.outside(0, 10, [(2, 3), (8, 12)]) == [(0, 2), (3, 8)] and not pii.outside(0, 10, [(0, 10)])
+    assert [k for k, *_ in pii.train(3000).spans([short])[0][1]] == []
+
+
 def test_notices(spark, odd):
     docs = spark.createDataFrame([(1, "x All-rights RESERVED cc by"), (2, "under the GNU Genral Public Licence"), (3, None), (4, "plain prose")], "doc_id long, text string")
     got = {r.doc_id: r for r in notices.scan(docs).collect()}
