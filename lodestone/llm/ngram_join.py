@@ -289,7 +289,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
 
     multi, multi_path = shared(texts, bands)
     release(spark)
-    twice = not every.where("n > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
+    # one null id, even without a repeated one, may hide texts that no id names
+    twice = not classes.where("rep is null").isEmpty() or not every.where("n > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
 
     def held(nodes: DataFrame) -> DataFrame:
         """The texts of these nodes, one a node; a repeated or null id may stand for further texts."""

@@ -72,6 +72,19 @@ def test_components(odd, hot, monkeypatch):
     assert ngram_join.jaccard_components(odd.limit(0)).count() == 0
 
 
+def test_one_null_id(spark):
+    """A single null id in a table of otherwise unique ids links, and bridges texts that are apart."""
+    words = [f"w{i}" for i in range(60)]
+    left, right = [*words], [*words]
+    left[10:14], right[40:44] = ["a1", "a2", "a3"], ["b1", "b2", "b3"]
+    rows = [(1, " ".join(left)), (None, " ".join(words)), (2, " ".join(right)), (3, "other words that link with nothing at all")]
+    one, two, three = (shingles(rows[i][1]) for i in (0, 1, 2))
+    near = lambda a, b: 100 * len(a & b) >= 75 * len(a | b)
+    assert near(one, two) and near(two, three) and not near(one, three)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, None: 1, 2: 1, 3: 3}
+
+
 def test_contamination(spark, odd):
     items = spark.createDataFrame([(1, "w1 w2"), (2, odd.where("doc_id = 5").first().text), (3, ""), (None, "w3"), (4, None)], "item_id long, text string")
     got = contamination(odd, items).collect()
