@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .bytes_np import mix, shingle_sets, slices
 from .components import components
-from .work import drop, pick, release, sized, store
+from .work import BROADCAST_KEYS, drop, pick, release, sized, store
 
 #: A group is hot if more than this many members lie outside its largest component.
 HOT = 24
@@ -112,10 +112,12 @@ def _sets(batches, k):
             yield batch.slice(a, b - a), shingle_sets(data, offsets, k)
 
 
-def _classes(k):
+def _classes(k, keyed=False):
+    more = ["text_hash"] if keyed else []
+
     def run(batches):
         for rows, sets in _sets(batches, k):
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "node", "n"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(rows.column(c) for c in more)], ["doc_id", "node", "n", *more])
 
     return run
 
@@ -270,13 +272,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     linked. A null doc_id counts in no minimum (a component of null ids has a null id); repeated
     rows are one class. An empty table gives no rows; further columns are ignored.
     """
+    every, final = _components(docs, k, num, den)
+    out = every.join(final, (every["node"] == final["node"]) & (every["n"] > 0), "left")
+    return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.when(every["n"] > 0, final["low"]).otherwise(every["doc_id"]).alias("component_id"))
+
+
+def _components(docs: DataFrame, k: int, num: int, den: int, keyed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, node, n) of all texts, and (node, low) of all classes. ``keyed`` adds text_hash to the
+    rows, and to the classes the first row of their component (no_id, doc_id, text_hash)."""
     spark = docs.sparkSession
     docs = docs.select(*pick(docs, "doc_id", "text"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bands = Bands(num, den)
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    every, _ = store(docs.mapInArrow(_classes(k), "doc_id long, node long, n long"), "classes")
-    classes, classes_path = store(every.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "reps")
+    key = ", text_hash long" if keyed else ""
+    first = [F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")] if keyed else []
+    hashed = docs.withColumn("text_hash", F.xxhash64("text")) if keyed else docs
+    every, _ = store(hashed.mapInArrow(_classes(k, keyed), f"doc_id long, node long, n long{key}"), "classes")
+    classes, classes_path = store(every.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *first), "reps")
     # texts of one row per class: the others are left out by id
     repeated = classes.where("copies > 1")
     spare = every.where("n > 0").join(sized(repeated, limit=200_000), "node").where(~F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id").where("doc_id is not null").distinct()
@@ -435,18 +448,26 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
         paths += [third_path, need_path, against_path, last_path, whole_path, members_path]
     ends, ends_path = store(components(joined()), "components")
     drop(spark, *paths, spare_path)
-    ids = classes.join(ends, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
-    lowest = ids.groupBy("label").agg(F.min("rep").alias("low"))
-    final, _ = store(ids.join(lowest, "label").select("node", "low"), "final")
-    out = every.join(final, (every["node"] == final["node"]) & (every["n"] > 0), "left")
-    return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.when(every["n"] > 0, final["low"]).otherwise(every["doc_id"]).alias("component_id"))
+    more = ["first"] if keyed else []
+    ids = classes.join(ends, "node", "left").select("node", "rep", *more, F.coalesce("label", "node").alias("label"))
+    lowest = ids.groupBy("label").agg(F.min("rep").alias("low"), *(F.min(c).alias(c) for c in more))
+    final, _ = store(ids.select("node", "label").join(lowest, "label").select("node", "low", *more), "final")
+    return every, final
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that links tie to a row with a smaller id; rows without words stay."""
-    found = jaccard_components(docs, k, num, den).where("n_shingles > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("d"))
-    spare = sized(found.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("d")).distinct())
-    again = sized(found.where("doc_id <=> component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("d")))
+    """One row, all columns, of each component of ``docs``: that of the smallest id, of a null id only if there
+    is no other; of several texts under that id, that of the smallest hash. All rows without words stay."""
+    every, final = _components(docs, k, num, den, keyed=True)
+    found = every.where("n > 0").join(final, "node").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))).alias("kept"))
+    # a row is known by its id and text, as repeated and null ids stand for several
+    found = found.groupBy("__d", "__t").agg(F.first("kept").alias("kept"), F.count("*").alias("copies"))
+    found, _ = store(found.where("not kept or copies > 1"), "decided")
+    some = lambda which: sized(found.where(which).select("__d", "__t"), limit=BROADCAST_KEYS // 2)
+    spare, again = some("not kept"), some("kept")
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    same = doc_id.eqNullSafe(F.col("__d")) & (F.xxhash64(text) == F.col("__t"))
     kept = docs.join(spare, same, "left_anti")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    # of rows with one id and text, one
+    repeated = kept.join(again, same, "left_semi").withColumns({"__d": doc_id, "__t": F.xxhash64(text)}).dropDuplicates(["__d", "__t"]).drop("__d", "__t")
+    return kept.join(again, same, "left_anti").unionByName(repeated)

@@ -85,6 +85,33 @@ def test_one_null_id(spark):
     assert {r.doc_id: r.component_id for r in got} == {1: 1, None: 1, 2: 1, 3: 3}
 
 
+def test_one_of_each(spark):
+    """Against brute force: one row a component, all rows without words, with null and repeated ids and clashing columns."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(50)]
+    base = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(6)]
+    near = lambda t: t + " end"
+    rows = [(None, base[0]), (None, base[1]), (None, near(base[1])), (None, None), (None, ""), (None, " \n"), (7, None), (7, base[2]), (7, base[3]), (7, near(base[3])), (3, base[4]), (None, near(base[4])), (3, base[4]), (9, base[4].upper()), (None, base[5]), (8, base[5]), (8, "")]
+    docs = spark.createDataFrame([(i, t, "x", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, d string, t int")
+    root = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        a, b = shingles(rows[i][1]), shingles(rows[j][1])
+        if a and b and 100 * len(a & b) >= 75 * len(a | b):
+            old, new = root[j], root[i]
+            root = [new if x == old else x for x in root]
+    out = ngram_join.one_of_each(docs)
+    assert out.schema == docs.schema
+    got = [r.t for r in out.collect()]
+    blank = [i for i, (_, t) in enumerate(rows) if not shingles(t)]
+    assert sorted(i for i in got if i in blank) == blank
+    linked = [i for i in got if i not in blank]
+    assert sorted(root[i] for i in linked) == sorted({root[i] for i in range(len(rows)) if i not in blank})
+    for i in linked:
+        ids = [rows[j][0] for j in range(len(rows)) if root[j] == root[i] and rows[j][0] is not None]
+        assert rows[i][0] == min(ids, default=None)
+    assert ngram_join.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_contamination(spark, odd):
     items = spark.createDataFrame([(1, "w1 w2"), (2, odd.where("doc_id = 5").first().text), (3, ""), (None, "w3"), (4, None)], "item_id long, text string")
     got = contamination(odd, items).collect()
