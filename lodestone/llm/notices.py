@@ -72,8 +72,13 @@ class Scanner:
             for low, high in own:
                 # a window long after many seeds is verified in pieces that overlap by a notice
                 for a in range(low, high, 4000):
-                    for m in self.patterns[k].finditer(text, a, min(high, a + 4000 + 2 * len(phrase))):
-                        out.append((label, m.start(), m.end(), sum(m.fuzzy_counts)))
+                    parts = [(a, min(high, a + 4000 + 2 * len(phrase)))]
+                    while parts:
+                        # the best find of a part comes first, so what lies before it is searched as well as what follows
+                        c, d = parts.pop()
+                        if d - c >= len(phrase) - errors and (m := self.patterns[k].search(text, c, d)):
+                            out.append((label, m.start(), m.end(), sum(m.fuzzy_counts)))
+                            parts += [(c, m.start()), (m.end(), d)]
         best: list[tuple[str, int, int, int]] = []
         for s in sorted(set(out), key=lambda s: (s[3], s[1], s[2], s[0])):
             if not any(s[0] == t[0] and s[1] < t[2] and t[1] < s[2] for t in best):

@@ -210,6 +210,15 @@ def test_notices(spark, odd):
     assert notices.scan(odd).count() == odd.count()
 
 
+def test_adjacent_notices():
+    """A fuzzy notice that precedes a better one in the same window is found too."""
+    scanner = notices.Scanner().build()
+    one, two = "creative comons attribution", "creative commons attribution"
+    for text in (f"{one} x {two}", f"{two} x {one}", f"{one} {one} {two} {one}"):
+        want = [("cc-by", m.start(), m.end(), int(m[0] == one)) for m in re.finditer(f"{one}|{two}", text)]
+        assert [(f[0], text[f[1] : f[2]].strip(), f[3]) for f in scanner.spans(text)] == [(w[0], text[w[1] : w[2]], w[3]) for w in want]
+
+
 def test_trees():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 4))
