@@ -30,6 +30,8 @@ from .work import pick
 
 #: Documents of each class that training sees at most.
 EACH = 1500
+#: Words that the machine trains on at most: the most frequent witnesses, the most frequent other words, and others at random. Rarer witnesses are not learned.
+WITNESSES, OFTEN, RARE = 2000, 4000, 8000
 DECAY, REACH, SYMBOLS, LANDMARKS = 0.6, 6, 40, 400
 #: Share of toxic documents that the score's curve supposes.
 PRIOR = 0.15
@@ -192,12 +194,12 @@ def train(rows: list[tuple[str, int]], seed: int = 7) -> Model:
     least = max(3, (np.log(len(count[1]) + 1) + 1) / max(np.log((docs[0] + docs[1] + 1) / (docs[1] + 1)), 1e-9))
     strong = {w for w, n in count[1].items() if n >= least and n >= RATIO * share * (count[0][w] + 0.5)}
     known = lambda w: w in strong or any(w[:n] + b"*" in strong for n in STEMS)
-    witness = sorted((w for w in count[1] if w[-1:] != b"*" and known(w) and not count[0][w] > count[1][w]), key=lambda w: (-count[1][w], w))[:2000]
+    witness = sorted((w for w in count[1] if w[-1:] != b"*" and known(w) and not count[0][w] > count[1][w]), key=lambda w: (-count[1][w], w))[:WITNESSES]
     clean = sorted(w for w in count[0] if w[-1:] != b"*" and not known(w))
     if not witness or not clean or {y for (_, y), own in zip(rows, part, strict=True) if not own} != {0, 1}:
         return quiet
-    often = sorted(clean, key=lambda w: (-count[0][w], w))[:4000]
-    rare = [clean[i] for i in rng.permutation(len(clean))[:8000]]
+    often = sorted(clean, key=lambda w: (-count[0][w], w))[:OFTEN]
+    rare = [clean[i] for i in rng.permutation(len(clean))[:RARE]]
     negative = list(dict.fromkeys(often + rare))
     words = witness + negative
     sign = np.array([1.0] * len(witness) + [-1.0] * len(negative))
