@@ -48,7 +48,7 @@ STAGES = [
     ("mixing", mixing),
 ]
 
-#: Trained scores decide the first stage, which SQL can't express; tests hold stages against brute force.
+#: Trained scores decide the first stage, which SQL can't express; test_one_of_each and test_stages hold the others against brute force or small known cases.
 ORACLE_SQL = None
 
 

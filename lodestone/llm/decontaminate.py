@@ -116,5 +116,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that the benchmark does not contaminate."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).distinct()
-    return docs.join(sized(bad), F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")), "left_anti")
+    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
+    return docs.join(sized(bad), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t")), "left_anti")

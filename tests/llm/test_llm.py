@@ -210,6 +210,25 @@ def test_notices(spark, odd):
     assert notices.scan(odd).count() == odd.count()
 
 
+def test_stages(spark, tmp_path):
+    """Every stage but near_duplicates (test_one_of_each) on null and repeated ids, an empty table and clashing columns."""
+    import corpus_pipeline as pipeline
+
+    item = " ".join(f"v{i}" for i in range(40))
+    rows = [(None, item), (None, "clean words only"), (None, None), (5, item + " end"), (5, "other clean words"), (6, "mail a.b@c.de now"), (7, ""), (6, "mail a.b@c.de now")]
+    docs = spark.createDataFrame([(i, t, "s", "x", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, source string, d string, t int")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    told = lambda df: sorted((r.t, r.text) for r in df.collect())
+    every = [(n, t) for n, (_, t) in enumerate(rows)]
+    want = {"toxicity": every, "decontamination": [(n, t) for n, t in every if item not in (t or "")], "personal_data": [(n, t and t.replace("a.b@c.de", "[EMAIL]")) for n, t in every]}
+    for name, stage in pipeline.STAGES:
+        if name in want:
+            assert told(stage(spark, docs, str(tmp_path))) == want[name], name
+            assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert pipeline.mixing(spark, docs, str(tmp_path)).count() == len(rows)
+
+
 def test_adjacent_notices():
     """A fuzzy notice that precedes a better one in the same window is found too."""
     scanner = notices.Scanner().build()
