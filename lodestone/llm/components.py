@@ -2,11 +2,41 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .work import drop, store
 
+#: Up to this many links (16 bytes each) one task finds their components.
+ONE_TASK = 1_000_000
+
+
+def _one(batches):
+    batches = list(batches)
+    a, b = (np.concatenate([x.column(c).to_numpy() for x in batches]) if batches else np.zeros(0, np.int64) for c in ("a", "b"))
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        # the roots of both ends take the lower label, then every node its root's
+        np.minimum.at(new, label[u], low)
+        np.minimum.at(new, label[v], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(nodes[label], pa.int64())], ["node", "label"])
+
+
+def labelled(links: DataFrame, limit: int = ONE_TASK) -> DataFrame:
+    """``components``, in one task if a count shows that the links are at most ``limit``."""
+    return links.coalesce(1).mapInArrow(_one, "node long, label long") if links.count() <= limit else components(links)
+
 
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """``links``: (a, b), each link once in any direction. Returns (node, label) of the linked nodes.

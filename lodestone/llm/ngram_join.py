@@ -1,50 +1,63 @@
 """Exact Jaccard self-join on word shingles by universe-partition pigeonhole.
 
 Two sets R, S (|R| <= |S|) with Jaccard at least t differ in at most H = |R| (1 - t) / t
-elements. Hash the universe into n > H segments: the two sets then agree on some segments,
-and every segment in which they differ spends at least one of the H differences. So R may
-give each of its segments an allowance, none (skipped, counts 0), exact (counts 1) or one
-deletion (counts 2), and a partner is never missed while the counts sum to more than H.
-
-* Sets fall into size bands of ratio t. A set indexes the segment subsets of its own band
-  (as the smaller side) and of the band below (as the larger side of a pair).
-* n is at least a fifth above H + 1 and large enough that a set fills H or fewer segments with a
-  probability below e^-25 (a union bound), so that empty segments can be skipped: two linked sets
-  share a full segment.
-* Cost-based allocation: segment subsets that very many sets share (a common passage) are
-  hot and skipped. If a set then lacks counts, the members of its hot groups are indexed again in
-  the finest partition, a segment for each element, of which the smaller set of a pair may miss
-  a seventh (at t = 0.75) and six sevenths may be hot. A set that still lacks counts allows one deletion in as many of its other segments as it needs, largest first;
-  a set for which that is not enough is compared with the members of its smallest hot groups, as
-  many groups as it lacks counts. Nothing is capped.
-* Groups are linked in stars first and joined into components; only members of different
-  components are compared after that, so a large group of near copies costs its size, not
-  its square. Every link between sets of different components is found, so the components
-  are exact.
-
-The same count prunes candidates: of the smaller set's full segments all but H must agree, so a
-pair that shares fewer segments than that, less the skipped ones, is no link. What remains is
-verified on the sets themselves.
-Sets and classes are held as 64-bit hashes.
+elements. Hash the universe into n > H segments: in every segment in which they differ they
+spend at least one of the H differences. So a set may give each of its segments an allowance,
+none (skipped, counts 0), exact (counts 1) or one deletion (counts 2), and no partner is missed
+while the counts sum to more than H.
+
+* Sets fall into size bands of ratio t. A set indexes the segment subsets of its own band (a
+  pair's smaller side) and of the bands below that may hold a smaller partner (the larger side).
+* n is at least a fifth above H + 1 and large enough that a set fills H or fewer segments with
+  a probability below e^-40, so that empty segments can be skipped.
+* Groups of equal subsets are first linked in stars (each set with the smallest of the group
+  that it shares most subsets with), and joined into components.
+* Only pairs of different components matter after that. Of such a pair the set of the smaller
+  component asks. What a group costs it is the number of members of larger components there.
+  Cost-based allocation: a set skips its costliest subsets, as many as H allows, and asks the
+  rest if they cost at most HOT. If some cost more (a passage that very many texts share), it
+  allows one deletion in as many of its cheap segments instead; partners are then among the
+  members of its costly groups, and only these index their deletions.
+* A set with too few cheap segments, or whose deletions meet a crowd too, asks in the finest
+  partition, a segment for each element, among the same members: it must share t of its elements
+  with a partner, so all but that many may be costly. One that consists of costly elements to
+  more than t is compared with the members of their groups in blocks, element by element.
+Nothing is capped or dropped. Candidates are pruned by size and by the bits in which two parity
+bitmaps differ (no more than the sets do), and verified on the sets themselves. Sets and
+classes of equal sets are held as 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytes_np import mix, shingle_sets, slices
-from .components import components
-from .work import BROADCAST_KEYS, drop, pick, release, sized, store
+from .components import labelled
+from .packed import FINE, SCHEMA, deal, edges, exchange, received, rows, run_ends, whole_groups
+from .work import BROADCAST_KEYS, drop, pick, sized, store
 
-#: A group is hot if more than this many members lie outside its largest component.
+#: A subset is costly to a set that would be compared with more than this many others through it.
 HOT = 24
 #: Bytes of text handled at once.
 BLOCK = 2 << 20
+#: Elements of a block of sets that are compared with all members of their groups.
+ASKED = 1 << 21
+U64, I64, I32, I8 = np.dtype(np.uint64), np.dtype(np.int64), np.dtype(np.int32), np.dtype(np.int8)
+SALT = np.uint64(0xA5A5A5A5)
+# kinds of packed rows: a subset's member (by subset), the allowance of a set (by set), its component (by set),
+# a member with its component (by subset), the same with its cost, a subset that is asked, one that is too costly
+# to ask, one that a deletion leads to or from
+MEMBER, NEED, INFO, TAGGED, PRICED, ASK, COSTLY, NEIGHBOUR = range(8)
+LAYOUT = {
+    MEMBER: (U64, I64, I8), NEED: (I64, I8, I32), INFO: (I64, I32, I64, I32), TAGGED: (U64, I64, I8, I32, I64, I32, I32),
+    PRICED: (U64, I64, I8, I32, I64, I32, I32, I32), ASK: (U64, I64), COSTLY: (U64, I64), NEIGHBOUR: (U64, I64, I8, I32, I64, I32),
+}
 
 
 class Bands:
@@ -58,13 +71,17 @@ class Bands:
         self.edges = np.array(self.tops, np.int64)
         self.counts: dict[int, int] = {}
 
-    def of(self, size: int) -> int:
-        return int(np.searchsorted(self.edges, size))
+    def of(self, size):
+        return np.searchsorted(self.edges, size)
 
-    def most(self, size: int) -> int:
+    def most(self, size):
         """Differences that the smaller set of a pair, of this size, allows."""
         return size * (self.den - self.num) // self.num
 
+    def lowest(self, size):
+        """The lowest band that may hold a smaller partner."""
+        return self.of(np.maximum(1, -(-size * self.num // self.den)))
+
     def segments(self, band: int) -> int:
         if band not in self.counts:
             n = (self.most(self.tops[band]) + 1) * 6 // 5 + 1
@@ -74,141 +91,371 @@ class Bands:
         return self.counts[band]
 
     def fills(self, band: int, n: int) -> bool:
-        """Whether sets of the band's least and largest size fill more than ``most`` of n segments, but for e^-25."""
+        """Whether sets of the band's least and largest size fill more than ``most`` of n segments, but for e^-40."""
         for size in (self.tops[band - 1] + 1 if band else 1, self.tops[band]):
             if most := self.most(size):
                 ways = math.lgamma(n + 1) - math.lgamma(most + 1) - math.lgamma(n - most + 1)
-                if ways + size * math.log(most / n) > -25:
+                if ways + size * math.log(most / n) > -40:
                     return False
         return True
 
-    def reach(self, size: int) -> list[int]:
-        """The set's own band and those below that may hold a smaller partner."""
-        own, least = self.of(size), -(-size * self.num // self.den)
-        return list(range(own, self.of(max(1, least)) - 1, -1))
 
+def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Elements of all sets, the set each belongs to, and the sizes."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    return np.concatenate([*sets, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(sets)), sizes), sizes
+
+
+def classes_of(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit classes of the sets."""
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(elements), dtype=np.uint64)))
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    return mix(sums[at[1:]] - sums[at[:-1]] + sizes.astype(np.uint64)).view(np.int64)
+
+
+def subsets(bands: Bands, elements: np.ndarray, owner: np.ndarray, sizes: np.ndarray, step: int):
+    """The full segments of all sets in the band ``step`` below their own, where it may hold a partner: set, band, segment,
+    size and sum of mixed elements of each; and for each element (in the order returned) its segment's index."""
+    own = bands.of(sizes)
+    band = own - step
+    there = (band >= bands.lowest(sizes)) & (sizes > 0)
+    n = np.array([bands.segments(int(b)) if ok else 1 for b, ok in zip(band, there, strict=True)], np.uint64)
+    keep = there[owner]
+    elements, owner = elements[keep], owner[keep]
+    segment = (elements >> np.uint64(20)) % n[owner]
+    order = np.lexsort((segment, owner))
+    elements, owner, segment = elements[order], owner[order], segment[order]
+    first = edges(owner) | edges(segment)
+    starts = np.flatnonzero(first)
+    sums = np.add.reduceat(mix(elements ^ SALT), starts) if len(starts) else np.zeros(0, np.uint64)
+    counts = np.diff(np.append(starts, len(elements)))
+    return owner[starts], band[owner[starts]], segment[starts], counts, sums, elements, np.cumsum(first) - 1
+
+
+def signature(band: np.ndarray, segment: np.ndarray, counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    return mix(sums + mix((segment.astype(np.uint64) << np.uint64(24)) + band.astype(np.uint64) * np.uint64(131) + np.uint64(7)) + counts.astype(np.uint64))
 
-def digest(own: np.ndarray) -> int:
-    """64-bit class of a set."""
-    return int(mix(np.array([mix(own).sum(dtype=np.uint64) + np.uint64(len(own))], np.uint64)).view(np.int64)[0])
 
+def allowed(bands: Bands, sizes: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Differences at most between sets of these sizes and a partner, the smaller of the two being of this band."""
+    return bands.most(np.minimum(bands.edges[band], sizes))
 
-def subsets(own: np.ndarray, band: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Full segments, the place among them of each element, and of each its size and the sum of its mixed elements."""
-    full, place = np.unique(((own >> np.uint64(20)) % np.uint64(n)).astype(np.int64), return_inverse=True)
-    sums = np.zeros(len(full), np.uint64)
-    np.add.at(sums, place, mix(own ^ np.uint64(0xA5A5A5A5)))
-    return full, place, np.bincount(place, minlength=len(full)), sums
 
+def parity(elements: np.ndarray) -> bytes:
+    """A bit for each of 2 |set| or more cells of the universe: whether the set has an odd number of elements there."""
+    bits = 1 << max(6, int(2 * len(elements) - 1).bit_length())
+    return np.packbits((np.bincount(((elements >> np.uint64(8)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
-def signature(sums: np.ndarray, sizes: np.ndarray, segs: np.ndarray, band: int) -> np.ndarray:
-    return mix(sums + mix((segs.astype(np.uint64) << np.uint64(24)) + np.uint64(band * 131 + 7)) + sizes.astype(np.uint64))
+
+def odd_bits(a: bytes, b: bytes) -> int:
+    """Cells in which two bitmaps differ, the longer folded to the length of the shorter: never more than elements that differ."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    n = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, n), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _sets(batches, k):
     for batch in batches:
-        texts = batch.column("text")
-        for a, b, data, offsets in slices(texts, BLOCK):
+        for a, b, data, offsets in slices(batch.column("text"), BLOCK):
             yield batch.slice(a, b - a), shingle_sets(data, offsets, k)
 
 
-def _classes(k, keyed=False):
-    more = ["text_hash"] if keyed else []
+def _known(batches, k):
+    """Sets of rows (text, node, ...) that are of the class that the row names."""
+    for batch, sets in _sets(batches, k):
+        elements, _, sizes = flat(sets)
+        nodes = classes_of(elements, sizes)
+        same = np.flatnonzero(nodes == np.array(batch.column("node").to_pylist(), np.int64))
+        if len(same):
+            yield batch.take(pa.array(same)), [sets[i] for i in same]
+
 
+def _classes(k):
     def run(batches):
-        for rows, sets in _sets(batches, k):
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(rows.column(c) for c in more)], ["doc_id", "node", "n", *more])
+        for batch, sets in _sets(batches, k):
+            elements, _, sizes = flat(sets)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(classes_of(elements, sizes)), pa.array(sizes), pa.array([parity(s) if len(s) else None for s in sets], pa.binary())], ["doc_id", "text_hash", "node", "n", "bits"])
 
     return run
 
 
-def _index(bands, k, parts):
-    """Rows (bucket, own, sigs, nodes, counts): the signatures of a block of texts, dealt by their hash, each bucket run by run of a node.
-    Without bands every element is a segment of its own."""
+def _index(bands, k, buckets):
+    """MEMBER rows of the subsets of all texts, and NEED rows: how many of its subsets, at least, a set shares with a partner."""
 
     def run(batches):
         for _, sets in _sets(batches, k):
-            seen: set[int] = set()
-            sigs, who, mine, nodes = [], [], [], []
-            for s in sets:
-                if not len(s) or (node := digest(s)) in seen:
-                    continue
-                seen.add(node)
-                if bands is None:
-                    sigs.append(mix(s))
-                    who.append(np.full(len(s), len(nodes), np.int32))
-                    mine.append(np.ones(len(s), bool))
-                for j, band in enumerate(bands.reach(len(s)) if bands else ()):
-                    full, _, sizes, sums = subsets(s, band, bands.segments(band))
-                    sigs.append(signature(sums, sizes, full, band))
-                    who.append(np.full(len(full), len(nodes), np.int32))
-                    mine.append(np.full(len(full), j == 0))
-                nodes.append(node)
-            if not sigs:
-                continue
-            sig, at, own, node = np.concatenate(sigs), np.concatenate(who), np.concatenate(mine), np.array(nodes, np.int64)
-            key = (sig % np.uint64(parts)).astype(np.int64) * 2 + own
-            order = np.argsort(key, kind="stable")
-            key, sig, at = key[order], sig[order], at[order]
-            cuts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            rows = []
-            for a, b in zip(cuts, [*cuts[1:], len(key)], strict=True):
-                x = at[a:b]
-                new = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-                rows.append((int(key[a]) >> 1, bool(key[a] & 1), sig[a:b].tobytes(), node[x[new]].tobytes(), np.diff(np.append(new, b - a)).astype(np.uint32).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "own", "sigs", "nodes", "counts"])
+            elements, owner, sizes = flat(sets)
+            nodes = classes_of(elements, sizes)
+            for step in range(3):
+                of, band, segment, counts, sums, _, _ = subsets(bands, elements, owner, sizes, step)
+                yield from deal(signature(band, segment, counts, sums), MEMBER, (signature(band, segment, counts, sums), nodes[of], np.full(len(of), step, np.int8)), buckets)
+                one = edges(of)
+                full = np.bincount(of, minlength=len(sizes))[of[one]] if len(of) else of
+                yield from deal(nodes[of[one]], NEED, (nodes[of[one]], np.full(int(one.sum()), step, np.int8), (full - allowed(bands, sizes[of[one]], band[one])).astype(np.int32)), buckets)
+
+    return run
+
+
+def _elements(num, den, k, buckets):
+    """The finest partition: every element a subset, shared to num / den with a partner. Only sets with ``asks`` need partners."""
+
+    def run(batches):
+        for batch, sets in _known(batches, k):
+            elements, owner, sizes = flat(sets)
+            nodes = np.array(batch.column("node").to_pylist(), np.int64)
+            asks = np.array(batch.column("asks").to_pylist(), bool)
+            sig = mix(elements)
+            yield from deal(sig, MEMBER, (sig, nodes[owner], np.zeros(len(sig), np.int8)), buckets)
+            yield from deal(nodes, NEED, (nodes, np.zeros(len(nodes), np.int8), np.where(asks, -(-sizes * num // den), -1).astype(np.int32)), buckets)
 
     return run
 
 
 def _shared(batches):
-    """All signatures of a bucket that two or more nodes have: (sig, node, own, centre), the centre being the group's smallest node."""
-    by: dict[int, list] = {}
-    for batch in batches:
-        for bucket, own, s, n, c in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-            nodes = np.repeat(np.frombuffer(n, np.int64), np.frombuffer(c, np.uint32))
-            by.setdefault(bucket, []).append((np.frombuffer(s, np.int64), nodes, np.full(len(nodes), own)))
-    for bucket in list(by):
-        sig, node, own = (np.concatenate(x) for x in zip(*by.pop(bucket), strict=True))
+    """Subsets that several sets have, sorted by subset and set; one of them must be in its own band. NEED rows pass."""
+    for bucket, got in received(batches, LAYOUT):
+        if len(got[NEED][0]):
+            yield rows([bucket], [NEED], [[c.tobytes() for c in got[NEED]]])
+        sig, node, step = got[MEMBER]
         order = np.argsort(sig, kind="stable")
         same = sig[order][1:] == sig[order][:-1]
-        keep = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-        order = order[keep]
+        order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))] if len(order) else order
         order = order[np.lexsort((node[order], sig[order]))]
-        sig, node, own = sig[order], node[order], own[order]
-        # repeated rows of a class, then groups of a single node, go
-        for single in (False, True):
-            new = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, bool)
-            other = new | np.concatenate(([True], node[1:] != node[:-1])) if len(sig) else new
-            keep = ~(new & np.concatenate((new[1:], [True]))) if single else other
-            sig, node, own = sig[keep], node[keep], own[keep]
-        # a pair's smaller set meets its partner in its own band only
-        if len(sig):
-            first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-            keep = np.repeat(np.logical_or.reduceat(own, first), np.diff(np.append(first, len(sig))))
-            sig, node, own = sig[keep], node[keep], own[keep]
-        first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.zeros(0, np.int64)
-        centre = np.repeat(node[first], np.diff(np.append(first, len(sig))))
-        for x in range(0, len(sig), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(c[x : x + (1 << 18)]) for c in (sig, node, own, centre)], ["sig", "node", "own", "centre"])
-
-
-def _brief(bands, k):
-    """Size of a set and how many full segments of its own band a larger linked set must share."""
+        sig, node, step = sig[order], node[order], step[order]
+        keep = edges(sig) | edges(node)
+        sig, node, step = sig[keep], node[keep], step[keep]
+        if not len(sig):
+            continue
+        first = edges(sig)
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, len(sig)))
+        keep = np.repeat((sizes > 1) & (np.minimum.reduceat(step, starts) == 0), sizes)
+        yield from whole_groups(bucket, MEMBER, first[keep], (sig[keep], node[keep], step[keep]))
+
+
+def _stars(batches):
+    """Pairs of a member and the smallest of its group, with how many groups of the row they share so."""
+    for batch in batches:
+        for cols in batch.column("cols"):
+            sig, node, _ = (np.frombuffer(c.as_py(), t) for c, t in zip(cols, LAYOUT[MEMBER], strict=True))
+            first = edges(sig)
+            centre = np.repeat(node[first], np.diff(np.append(np.flatnonzero(first), len(sig))))
+            a, b = node[~first], centre[~first]
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.flatnonzero(edges(a) | edges(b))
+            yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(np.diff(np.append(new, len(a))))], ["node", "centre", "m"])
+
+
+def _by_set(buckets, batches):
+    for batch in batches:
+        for cols in batch.column("cols"):
+            cols = tuple(np.frombuffer(c.as_py(), t) for c, t in zip(cols, LAYOUT[MEMBER], strict=True))
+            yield from deal(cols[1], MEMBER, cols, buckets)
+
+
+def _info(buckets, batches):
+    for batch in batches:
+        cols = tuple(batch.column(c).to_numpy(zero_copy_only=False).astype(t) for c, t in zip(("node", "size", "label", "n"), LAYOUT[INFO], strict=True))
+        yield from deal(cols[0], INFO, cols, buckets)
+
+
+def _tagged(buckets, batches):
+    """Members with the size and label of their component, the size of the set and what it needs, dealt by subset."""
+    for _, got in received(batches, LAYOUT):
+        node, size, label, n = got[INFO]
+        order = np.argsort(node)
+        node, size, label, n = node[order], size[order], label[order], n[order]
+        sig, member, step = got[MEMBER]
+        if not len(sig):
+            continue
+        at = np.searchsorted(node, member)
+        need = np.full((len(node), 3), -1, np.int32)
+        of, of_step, least = got[NEED]
+        need[np.searchsorted(node, of), of_step] = least
+        yield from deal(sig, TAGGED, (sig, member, step, size[at], label[at], n[at], need[at, step]), buckets)
+
+
+def _priced(batches):
+    """Groups of several components, by component; and for each member how many of larger components it would be compared with."""
+    for bucket, got in received(batches, LAYOUT):
+        sig, node, step, size, label, n, need = got[TAGGED]
+        order = np.lexsort((label, size, sig))
+        cols = [c[order] for c in (sig, node, step, size, label, n, need)]
+        sig, node, step, size, label, n, need = cols
+        if not len(sig):
+            continue
+        first = edges(sig)
+        ends, part = run_ends(first), run_ends(first | edges(label))
+        own = np.concatenate(([0], np.cumsum(step == 0)))
+        cost = np.where(step == 0, ends - part, own[ends] - own[part]).astype(np.int32)
+        mixed = np.repeat(np.add.reduceat(cost, np.flatnonzero(first)) > 0, np.diff(np.append(np.flatnonzero(first), len(sig))))
+        if mixed.any():
+            yield from whole_groups(bucket, PRICED, first[mixed], tuple(c[mixed] for c in (*cols, cost)))
+
+
+def _prices(buckets, batches):
+    """Members that something is asked of, dealt by set."""
+    for batch in batches:
+        for cols in batch.column("cols"):
+            cols = [np.frombuffer(c.as_py(), t) for c, t in zip(cols, LAYOUT[PRICED], strict=True)]
+            some = (cols[7] > 0) & (cols[6] >= 0)
+            yield from deal(cols[1][some], PRICED, tuple(c[some] for c in cols), buckets)
+
+
+def _allotted(hot, buckets, batches):
+    """ASK rows, and COSTLY rows of the sets that would have to ask costly subsets."""
+    for _, got in received(batches, LAYOUT):
+        sig, node, step, _, _, _, need, cost = got[PRICED]
+        order = np.lexsort((sig, -cost, step, node))
+        sig, node, step, need, cost = (c[order] for c in (sig, node, step, need, cost))
+        if not len(sig):
+            continue
+        first = edges(node) | edges(step)
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, len(sig)))
+        asked = np.arange(len(sig)) - np.repeat(starts, sizes) >= need - 1
+        cheap = asked & (cost <= hot)
+        yield from deal(sig[cheap], ASK, (sig[cheap], node[cheap]), buckets)
+        lacks = np.add.reduceat((asked & (cost > hot)).astype(np.int64), starts)
+        some = (np.repeat(lacks, sizes) > 0) & (cost > hot)
+        if some.any():
+            of = np.repeat(np.arange(len(starts)), sizes)[some]
+            each = edges(of)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(int(each.sum()), -1, np.int32)), pa.array(np.full(int(each.sum()), COSTLY, np.int32)),
+                 pa.array([[node[some][a].tobytes(), int(step[some][a]).to_bytes(8, "little"), int(lacks[of[a]]).to_bytes(8, "little"), sig[some][a:b].tobytes()] for a, b in zip(np.flatnonzero(each), np.append(np.flatnonzero(each)[1:], len(of)), strict=True)], pa.list_(pa.binary()))], ["bucket", "kind", "cols"])
+
+
+def _lacking(batches):
+    """COSTLY rows as table rows."""
+    for batch in batches:
+        read = lambda i, b=batch: pa.array([int.from_bytes(c.as_py()[i], "little", signed=True) for c in b.column("cols")], pa.int64())
+        yield pa.RecordBatch.from_arrays([read(0), read(1), read(2), pa.array([c.as_py()[3] for c in batch.column("cols")], pa.binary())], ["node", "step", "lacks", "costly"])
+
+
+def _hash(sig: np.ndarray, node: np.ndarray) -> np.ndarray:
+    return mix(sig ^ mix(node.view(np.uint64)))
+
+
+def _ratio(x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
+    return np.minimum(x, y).astype(np.int64) * den >= np.maximum(x, y).astype(np.int64) * num
+
+
+def _pairs(num, den, batches):
+    """Pairs (a < b) of the sets that ask with the members of larger components that the group holds."""
+    for _, got in received(batches, LAYOUT):
+        sig, node, step, size, label, n, _, _ = got[PRICED]
+        if not len(sig) or not len(got[ASK][0]):
+            continue
+        first = edges(sig)
+        ends, part = run_ends(first), run_ends(first | edges(label))
+        asks = np.flatnonzero(np.isin(_hash(sig, node), _hash(*got[ASK])))
+        for at in np.array_split(asks, max(1, len(asks) >> 14)):
+            many = ends[at] - part[at]
+            x = np.repeat(at, many)
+            y = np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(part[at], many)
+            ok = ((step[x] == 0) | (step[y] == 0)) & _ratio(n[x], n[y], num, den)
+            a, b = np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = edges(a) | edges(b)
+            yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
+
+
+def _costly(buckets, batches):
+    for batch in batches:
+        for node, sigs in zip(batch.column("node").to_pylist(), batch.column("costly").to_pylist(), strict=True):
+            sig = np.frombuffer(sigs, np.uint64)
+            yield from deal(sig, COSTLY, (sig, np.full(len(sig), node)), buckets)
+
+
+def _met(batches):
+    """Sets of the groups that are too costly for some set."""
+    for _, got in received(batches, LAYOUT):
+        node = np.unique(got[PRICED][1][np.isin(got[PRICED][0], got[COSTLY][0])])
+        if len(node):
+            yield pa.RecordBatch.from_arrays([pa.array(node)], ["node"])
+
+
+def _neighbours(bands, k, buckets):
+    """NEIGHBOUR rows: of all members the exact subsets (role 2) and those with one deletion (3); of sets that lack counts
+    the same (0 and 1) of as many cheap segments of the band as they lack. Sets with too few have a row of kind NEED."""
 
     def run(batches):
-        for _, sets in _sets(batches, k):
-            rows = [(digest(s), len(s), len(subsets(s, b := bands.of(len(s)), bands.segments(b))[0]) - bands.most(len(s))) for s in sets if len(s)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64()), strict=True)], ["node", "n", "need"])
+        for batch, sets in _known(batches, k):
+            elements, owner, sizes = flat(sets)
+            node, size, label, n = (np.array(batch.column(c).to_pylist(), t) for c, t in zip(("node", "size", "label", "n"), LAYOUT[INFO], strict=True))
+            lacks = batch.column("lacking").to_pylist()
+            for step in range(3):
+                of, band, segment, counts, sums, items, at = subsets(bands, elements, owner, sizes, step)
+                if not len(of):
+                    continue
+                exact = signature(band, segment, counts, sums)
+                less = signature(band[at], segment[at], counts[at] - 1, sums[at] - mix(items ^ SALT))
+                some = counts[at] > 1
+                told = lambda i, role, sig: deal(sig, NEIGHBOUR, (sig, node[i], np.full(len(i), role, np.int8), size[i], label[i], n[i]), buckets)  # noqa: B023, E731
+                yield from told(of, 2, exact)
+                yield from told(of[at][some], 3, less[some])
+                chosen, short = np.zeros(len(of), bool), []
+                for i, found in enumerate(lacks):
+                    for r in found or []:
+                        if r["step"] == step:
+                            own = np.flatnonzero((of == i) & (counts > 1) & ~np.isin(exact, np.frombuffer(r["costly"], np.uint64)))
+                            own = own[np.argsort(-counts[own], kind="stable")][: r["lacks"]]
+                            if len(own) < r["lacks"]:
+                                short.append(node[i])
+                            else:
+                                chosen[own] = True
+                yield from told(of[chosen], 0, exact[chosen])
+                yield from told(of[at][chosen[at]], 1, less[chosen[at]])
+                if short:
+                    short = np.array(short, np.int64)
+                    yield from deal(short, NEED, (short, np.zeros(len(short), np.int8), np.zeros(len(short), np.int32)), buckets)
 
     return run
 
 
-def _elements(k):
+def _close(hot, num, den, batches):
+    """Pairs (a, b) of a set that lacks counts and a member of a larger component of which one's deletion is the other's subset;
+    b is null for sets that have too few segments or meet a crowd."""
+    for _, got in received(batches, LAYOUT):
+        sig, node, role, size, label, n = got[NEIGHBOUR]
+        order = np.lexsort((label, size, role, sig))
+        sig, node, role, size, label, n = (c[order] for c in (sig, node, role, size, label, n))
+        a, b = [got[NEED][0]], [np.full(len(got[NEED][0]), -1)]
+        asks = np.flatnonzero(role < 2)
+        low, high = np.searchsorted(sig, sig[asks]), np.searchsorted(sig, sig[asks], "right")
+        for i, p, q in zip(asks.tolist(), low.tolist(), high.tolist(), strict=True):
+            # an exact subset meets deletions, a deletion exact ones
+            y = np.arange(p, q)[role[p:q] == 3 - role[i]]
+            y = y[(size[y] > size[i]) | (size[y] == size[i]) & (label[y] > label[i])]
+            crowd = len(y) > hot
+            y = y[:0] if crowd else y[_ratio(n[y], n[i], num, den)]
+            a.append(np.full(len(y) + crowd, node[i]))
+            b.append(np.append(node[y], np.full(int(crowd), -1, np.int64)))
+        a, b = np.concatenate(a, dtype=np.int64), np.concatenate(b, dtype=np.int64)
+        if len(a):
+            a, b = np.unique(np.stack([a, b]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=b == -1)], ["a", "b"])
+
+
+def _plausible(num, den):
     def run(batches):
-        for _, sets in _sets(batches, k):
-            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "elements"])
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            most = (n + m) * (den - num) // (den + num)
+            keep = [odd_bits(x, y) <= h for x, y, h in zip(batch.column("ba").to_pylist(), batch.column("bb").to_pylist(), most.tolist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _content(k):
+    def run(batches):
+        for batch, sets in _known(batches, k):
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "elements"])
 
     return run
 
@@ -216,48 +463,42 @@ def _elements(k):
 def _verified(num, den):
     def run(batches):
         for batch in batches:
-            a, b = [], []
-            for x, y, ex, ey in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ea", "eb")), strict=True):
-                p, q = np.frombuffer(ex, np.uint64), np.frombuffer(ey, np.uint64)
-                merged = np.concatenate((p, q))
+            keep = []
+            for x, y in zip(batch.column("ea").to_pylist(), batch.column("eb").to_pylist(), strict=True):
+                merged = np.concatenate((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
                 merged.sort()
                 both = int(np.count_nonzero(merged[1:] == merged[:-1]))
-                if den * both >= num * (len(p) + len(q) - both):
-                    a.append(x)
-                    b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                keep.append(den * both >= num * (len(merged) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _deletions(bands, whole):
-    """Exact (kind 0) and one-deletion (kind 1) signatures of sets with hot groups: all full segments, of bands with a hot group of a set that lacks counts, for the index, else as many as lack; kind 2 marks a set with too few."""
-
-    def rows(sig, kind, node):
-        return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.full(len(sig), kind, np.int32)), pa.array(np.full(len(sig), node, np.int64))], ["sig", "kind", "node"])
+def _blocks(num, den):
+    """Links of the asking sets of a block with its members: common elements counted for all sets of a batch at once."""
 
     def run(batches):
+        now, held = None, []
         for batch in batches:
-            for i in range(batch.num_rows):
-                node, raw, hot, lacks = (batch.column(c)[i].as_py() for c in ("node", "elements", "hot", "lacks"))
-                s = np.frombuffer(raw, np.uint64)
-                for band in bands.reach(len(s)) if whole else [bands.of(len(s))]:
-                    full, place, sizes, sums = subsets(s, band, bands.segments(band))
-                    exact = signature(sums, sizes, full, band)
-                    chosen = np.ones(len(full), bool)
-                    if whole and not np.isin(exact.view(np.int64), np.array(hot, np.int64)).any():
-                        continue
-                    if not whole:
-                        usable = (sizes >= 2) & ~np.isin(exact.view(np.int64), np.array(hot or [], np.int64))
-                        order = np.argsort(-sizes, kind="stable")
-                        chosen = np.zeros(len(full), bool)
-                        chosen[order[usable[order]][:lacks]] = True
-                        if int(chosen.sum()) < lacks:
-                            yield rows(np.zeros(1, np.uint64), 2, node)
-                    yield rows(exact[chosen], 0, node)
-                    rest = np.flatnonzero((chosen & (sizes > 1))[place])
-                    at = place[rest]
-                    yield rows(signature(sums[at] - mix(s[rest] ^ np.uint64(0xA5A5A5A5)), sizes[at] - 1, full[at], band), 1, node)
+            for block, salt, asks, node, label, raw in zip(*(batch.column(c).to_pylist() for c in ("block", "salt", "asks", "node", "label", "elements")), strict=True):
+                if (block, salt) != now:
+                    now, held, index = (block, salt), [], None
+                own = np.frombuffer(raw, np.uint64)
+                if asks:
+                    held.append((node, label, own))
+                    continue
+                if index is None:
+                    elements, owner, sizes = flat([s for _, _, s in held])
+                    order = np.argsort(elements, kind="stable")
+                    elements, owner = elements[order], owner[order]
+                    index = True
+                    nodes, labels = (np.array([h[i] for h in held], np.int64) for i in range(2))
+                low, high = np.searchsorted(elements, own), np.searchsorted(elements, own, "right")
+                many = high - low
+                both = np.bincount(owner[np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)], minlength=len(held))
+                hit = np.flatnonzero((labels != label) & (nodes != node) & (den * both >= num * (sizes + len(own) - both)))
+                if len(hit):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(nodes[hit], node)), pa.array(np.maximum(nodes[hit], node))], ["a", "b"])
 
     return run
 
@@ -277,188 +518,119 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.when(every["n"] > 0, final["low"]).otherwise(every["doc_id"]).alias("component_id"))
 
 
-def _components(docs: DataFrame, k: int, num: int, den: int, keyed: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, node, n) of all texts, and (node, low) of all classes. ``keyed`` adds text_hash to the
-    rows, and to the classes the first row of their component (no_id, doc_id, text_hash)."""
+def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, node, n, bits) of all texts; and (node, low, first) of all classes, ``first`` being
+    the first row (no_id, doc_id, text_hash) of the component."""
     spark = docs.sparkSession
     docs = docs.select(*pick(docs, "doc_id", "text"))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     bands = Bands(num, den)
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    key = ", text_hash long" if keyed else ""
-    first = [F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")] if keyed else []
-    hashed = docs.withColumn("text_hash", F.xxhash64("text")) if keyed else docs
-    every, _ = store(hashed.mapInArrow(_classes(k, keyed), f"doc_id long, node long, n long{key}"), "classes")
-    classes, classes_path = store(every.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *first), "reps")
-    # texts of one row per class: the others are left out by id
-    repeated = classes.where("copies > 1")
-    spare = every.where("n > 0").join(sized(repeated, limit=200_000), "node").where(~F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id").where("doc_id is not null").distinct()
-    spare, spare_path = store(spare.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "spare")
-    texts = docs.join(sized(spare), "doc_id", "left_anti")
-
-    def shared(texts: DataFrame, bands: Bands | None) -> tuple[DataFrame, str]:
-        index = texts.mapInArrow(_index(bands, k, parts), "bucket int, own boolean, sigs binary, nodes binary, counts binary")
-        return store(index.repartition(parts, "bucket").mapInArrow(_shared, "sig long, node long, own boolean, centre long"), "shared")
-
-    multi, multi_path = shared(texts, bands)
-    release(spark)
-    # one null id, even without a repeated one, may hide texts that no id names
-    twice = not classes.where("rep is null").isEmpty() or not every.where("n > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
-
-    def held(nodes: DataFrame) -> DataFrame:
-        """The texts of these nodes, one a node; a repeated or null id may stand for further texts."""
-        some = nodes.join(classes.where("rep is not null"), "node").select(F.col("rep").alias("doc_id")).distinct()
-        texts = docs.join(sized(some), "doc_id", "left_semi")
-        return texts.unionByName(docs.where("doc_id is null")) if twice else texts
-
-    def of(nodes: DataFrame, run, schema: str) -> DataFrame:
-        """What ``run`` makes of the texts of these nodes, one text a node."""
-        out = held(nodes).mapInArrow(run, schema)
-        return out.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]) if twice else out
-
-    brief, brief_path = store(of(multi.select("node").distinct(), _brief(bands, k), "node long, n long, need long"), "brief")
-    release(spark)
-
-    def links(pairs: DataFrame, brief: DataFrame, part: int = 1, skipped: DataFrame | None = None) -> tuple[DataFrame, str]:
-        """Those of the pairs (a < b) that reach the threshold. With ``m``, how many segments of the
-        smaller set's band a pair shares, those go that share less than a link must (over ``part``)."""
-        x = brief.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("need").alias("fa"))
-        y = brief.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("need").alias("fb"))
-        near = pairs.join(x, "a").join(y, "b").where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}")
-        if "m" in pairs.columns:
-            for side in "ab":
-                if skipped is not None:
-                    near = near.join(skipped.select(F.col("node").alias(side), F.col("skipped").alias(f"s{side}")), side, "left")
-                else:
-                    near = near.withColumn(f"s{side}", F.lit(0))
-            near = near.where(f"m * {part} >= if(na <= nb, fa - coalesce(sa, 0), fb - coalesce(sb, 0))")
-        near, path = store(near.select("a", "b").distinct(), "near")
-        release(spark)
+    buckets = parts * FINE
+    paths: list[str] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df, path = store(df, name)
+        paths.append(path)
+        return df
+
+    every, _ = store(docs.mapInArrow(_classes(k), "doc_id long, text_hash long, node long, n long, bits binary"), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    classes = kept(every.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"), first.alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.count("*").alias("copies")), "reps")
+
+    def same(a: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        """``a`` joined by id and text hash, null ids too, with (id, hash, ...)."""
+        return a.join(some, a["doc_id"].eqNullSafe(some["id"]) & (a["text_hash"] == some["hash"]), how)
+
+    def texts(nodes: DataFrame) -> DataFrame:
+        """(text, node, ...) of the sets that ``nodes`` (node, ...) names, each by its class's first row (again where that row repeats)."""
+        some = nodes.join(classes.select("node", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")), "node")
+        return same(docs, sized(kept(some, "named"), limit=BROADCAST_KEYS // 4), "inner").drop("doc_id", "text_hash", "id", "hash")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a < b) that reach the threshold."""
+        side = lambda s: classes.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"b{s}"))
+        near = pairs.join(side("a"), "a").join(side("b"), "b").where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}")
+        near = kept(near.mapInArrow(_plausible(num, den), "a long, b long"), "near")
         ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
-        sets, sets_path = store(of(ends, _elements(k), "node long, elements binary"), "sets")
-        x = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
-        y = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
-        out = store(near.join(x, "a").join(y, "b").mapInArrow(_verified(num, den), "a long, b long"), "links")
-        drop(spark, path, sets_path)
-        release(spark)
-        return out
-
-    ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    # stars: every member with the smallest of its group
-    first, first_path = links(multi.where("node <> centre").groupBy(*ordered("node", "centre")).agg(F.count("*").alias("m")), brief, part=4)
-    found, paths = [first], [first_path, multi_path, brief_path]
-
-    def joined() -> DataFrame:
-        """All links found so far."""
-        linked = found[0]
-        for more in found[1:]:
-            linked = linked.unionByName(more)
-        return linked
-
-    def apart(rows: DataFrame) -> tuple[DataFrame, str]:
-        """Rows (sig, node, own) of the groups that lie in several components, with their label, the group's largest (main), its size (m) and its members outside the largest (others)."""
-        label = components(joined(), rounds=4)
-        tagged = rows.join(sized(label), "node", "left").select("sig", "node", "own", F.coalesce("label", "node").alias("label")).repartition(parts, "sig")
-        groups = tagged.groupBy("sig", "label").agg(F.count("*").alias("m"))
-        groups = groups.groupBy("sig").agg(F.sum("m").alias("m"), F.max(F.struct("m", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-        groups = groups.select("sig", F.col("top.label").alias("main"), "m", (F.col("m") - F.col("top.m")).alias("others"))
-        out = store(tagged.join(groups, "sig"), "mixed")
-        release(spark)
-        return out
-
-    def meet(multi: DataFrame, brief: DataFrame, central: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Links what shares a cold group across components. Returns the rows of hot groups, how many of them a set has (node, skipped, hot), and the sets that lack counts (node, hot, lacks)."""
-        mixed, mixed_path = apart(multi.drop("centre"))
-        hot = mixed.where(f"others > {HOT}")
-        if central and not hot.isEmpty():
-            # stars again, around the member whose segments most others share: near copies of one text are nearest to it
-            score = hot.where("own").groupBy("node").agg(F.sum("m").alias("score"))
-            middle = hot.join(score, "node").groupBy("sig").agg(F.max(F.struct("score", "node", "label")).alias("c")).select("sig", F.col("c.node").alias("centre"), F.col("c.label").alias("lc"))
-            star, star_path = links(hot.join(middle, "sig").where("label <> lc").select(*ordered("node", "centre")).distinct(), brief)
-            found.append(star)
-            mixed, again_path = apart(mixed.select("sig", "node", "own"))
-            drop(spark, mixed_path)
-            paths.append(star_path)
-            mixed_path = again_path
-        cold, hot = mixed.where(f"others <= {HOT}"), mixed.where(f"others > {HOT}")
-        mine, mine_path = store(hot.where("own").groupBy("node").agg(F.count("*").alias("skipped"), F.collect_set("sig").alias("hot")), "skipped")
-        few = cold.where("label <> main").select("sig", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"))
-        all_ = cold.select("sig", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("own").alias("oy"), (F.col("label") == F.col("main")).alias("large"))
-        # each shared segment of the smaller set's band counts once
-        pairs = few.join(all_, "sig").where("lx <> ly and (ox or oy) and (large or x < y)")
-        more, more_path = links(pairs.groupBy(*ordered("x", "y")).agg(F.count("*").alias("m")), brief, skipped=mine)
-        # sets whose skipped hot segments leave too few counts
-        lacking = mine.join(brief, "node")
-        lacking = lacking.select("node", "hot", (F.col("skipped") - F.col("need") + 1).alias("lacks")).where("lacks > 0")
-        lacking, lacking_path = store(lacking, "lacking")
-        found.append(more)
-        paths.extend((more_path, mixed_path, mine_path, lacking_path))
-        return hot, mine, lacking
-
-    def crowded(hot: DataFrame, lacking: DataFrame) -> tuple[DataFrame, str]:
-        """Members (node, hot) of the hot groups of sets that lack counts. A linked set shares a full segment with
-        such a set: a cold one was met, so it is in a hot group of that set."""
-        crowds = lacking.select(F.explode("hot").alias("sig")).distinct()
-        return store(hot.join(crowds, "sig", "left_semi").groupBy("node").agg(F.collect_set("sig").alias("hot")), "members")
-
-    hot, _, lacking = meet(multi, brief, central=True)
-    if not lacking.isEmpty():
-        members, members_path = crowded(hot, lacking)
-        again, again_path = shared(held(members.select("node")), None)
-        # two sets of at least n elements that link share 2t / (1 + t) of n
-        finer = brief.withColumn("need", F.expr(f"(2 * {num} * n + {num + den - 1}) div {num + den}"))
-        release(spark)
-        _, common, still = meet(again, finer)
-        drop(spark, members_path)
-        # pairs that share a cold element were met: what other pairs share are hot elements, so a larger set must have num / den of its own hot
-        common = common.join(finer, "node").where(f"skipped * {den} >= {num} * n").select("node", "n", F.col("skipped").alias("common"))
-        common, common_path = store(common, "common")
-        hot, hot_path = apart(hot.join(common.select("node"), "node", "left_semi").select("sig", "node", "own"))
-        # groups that went need no allowance
-        left = hot.where("own").groupBy("node").agg(F.collect_set("sig").alias("kept"))
-        lacking = lacking.join(still.select("node"), "node", "left_semi").join(left, "node")
-        lacking = lacking.select("node", F.col("kept").alias("hot"), (F.col("lacks") - F.size("hot") + F.size("kept")).alias("lacks")).where("lacks > 0")
-        lacking, lacking_path = store(lacking, "lacking")
-        paths += [again_path, lacking_path, common_path, hot_path]
-    if not lacking.isEmpty():
-        bare = "sig long, kind int, node long"
-        members, members_path = crowded(hot, lacking)
-        whole_sets, whole_path = store(of(members.select("node"), _elements(k), "node long, elements binary"), "hot-sets")
-        asking = whole_sets.join(sized(lacking.select("node")), "node", "left_semi")
-        need, need_path = store(lacking.join(asking, "node").mapInArrow(_deletions(bands, False), bare), "need")
-        members = members.join(whole_sets, "node").withColumn("lacks", F.lit(0).cast("long"))
-        against = members.mapInArrow(_deletions(bands, True), bare).join(need.select("sig").distinct(), "sig", "left_semi")
-        against, against_path = store(against, "against")
-        crowd = against.groupBy("sig", "kind").agg(F.count("*").alias("m")).where(f"m > {HOT}")
-        asked = need.where("kind < 2").select("sig", (1 - F.col("kind")).alias("kind"), F.col("node").alias("x"))
-        # a deletion that meets a crowd: its set is compared with hot groups instead, as are sets with too few segments
-        last = asked.join(crowd, ["sig", "kind"], "left_semi").select("x").union(need.where("kind = 2").select(F.col("node").alias("x"))).distinct()
-        last, last_path = store(last, "last")
-        usual = asked.join(last, "x", "left_anti").join(against.select("sig", "kind", F.col("node").alias("y")), ["sig", "kind"])
-        # of its hot groups, it must share all but ``lacks`` less one with a linked set
-        rare = hot.where("own").join(last.select(F.col("x").alias("node")).join(lacking.select(F.col("node"), "lacks"), "node"), "node")
-        rare = rare.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("m", "sig"))).where("rank <= lacks")
-        whole = rare.select("sig", F.col("node").alias("x"), F.col("label").alias("lx")).join(hot.select("sig", F.col("node").alias("y"), F.col("label").alias("ly")), "sig").where("lx <> ly")
-        pairs = usual.where("x <> y").select(*ordered("x", "y")).union(whole.select(*ordered("x", "y"))).distinct()
-        for side in "ab":
-            pairs = pairs.join(common.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("common").alias(f"c{side}")), side)
-        pairs = pairs.where(f"least(ca, cb) * {num + den} >= {num} * (na + nb)").select("a", "b")
-        third, third_path = links(pairs, brief)
-        found.append(third)
-        paths += [third_path, need_path, against_path, last_path, whole_path, members_path]
-    ends, ends_path = store(components(joined()), "components")
-    drop(spark, *paths, spare_path)
-    more = ["first"] if keyed else []
-    ids = classes.join(ends, "node", "left").select("node", "rep", *more, F.coalesce("label", "node").alias("label"))
-    lowest = ids.groupBy("label").agg(F.min("rep").alias("low"), *(F.min(c).alias(c) for c in more))
-    final, _ = store(ids.select("node", "label").join(lowest, "label").select("node", "low", *more), "final")
+        sets = kept(texts(ends).mapInArrow(_content(k), "node long, elements binary").dropDuplicates(["node"]), "sets")
+        side = lambda s: sets.select(F.col("node").alias(s), F.col("elements").alias(f"e{s}"))
+        return kept(near.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(num, den), "a long, b long"), "links")
+
+    def packed(df: DataFrame, step, *args) -> DataFrame:
+        return df.mapInArrow(partial(step, *args), SCHEMA)
+
+    def shared(index: DataFrame) -> DataFrame:
+        return kept(exchange(index, parts, _shared), "shared")
+
+    def met(priced: DataFrame, lacking: DataFrame) -> DataFrame:
+        """(node) of all members of the groups that are too costly for some set."""
+        return exchange(priced.unionByName(packed(lacking.select("node", "costly"), _costly, buckets)), parts, _met, "node long").distinct()
+
+    def meet(multi: DataFrame, info: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        """Links through cheap subsets between components, the priced groups, and the sets that lack counts (node, step, lacks, costly), None if there are none."""
+        members = packed(multi.where(f"kind = {MEMBER}"), _by_set, buckets)
+        tagged = exchange(members.unionByName(multi.where(f"kind = {NEED}")).unionByName(packed(info.select("node", "size", "label", "n"), _info, buckets)), parts, partial(_tagged, buckets))
+        priced = kept(exchange(tagged, parts, _priced), "priced")
+        allotted = kept(exchange(packed(priced, _prices, buckets), parts, partial(_allotted, HOT, buckets)), "allotted")
+        pairs = exchange(priced.unionByName(allotted.where(f"kind = {ASK}")), parts, partial(_pairs, num, den), "a long, b long").distinct()
+        costly = allotted.where(f"kind = {COSTLY}")
+        lacking = None if costly.isEmpty() else costly.mapInArrow(_lacking, "node long, step long, lacks long, costly binary")
+        return links(pairs), priced, lacking
+
+    # all rows but the first of classes with several
+    spare = every.where("n > 0").join(sized(classes.where("copies > 1").select("node", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")), limit=BROADCAST_KEYS // 8), "node")
+    spare = kept(spare.where(~(F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct(), "spare")
+    multi = shared(same(docs, sized(spare, limit=BROADCAST_KEYS // 2), "left_anti").select("text").mapInArrow(_index(bands, k, buckets), SCHEMA))
+    stars = multi.where(f"kind = {MEMBER}").mapInArrow(_stars, "node long, centre long, m long").groupBy("node", "centre").agg(F.sum("m").alias("m"))
+    stars = stars.groupBy("node").agg(F.max(F.struct("m", (-F.col("centre")).alias("c"))).alias("x")).select("node", (-F.col("x.c")).alias("centre"))
+    found = links(stars.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+    label = kept(labelled(found), "labels")
+    label = label.join(label.groupBy("label").agg(F.count("*").cast("int").alias("size")), "label")
+    info = kept(classes.select("node", F.col("n").cast("int").alias("n")).join(label, "node", "left").select("node", "n", F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("label", "node").alias("label")), "info")
+    more, priced, lacking = meet(multi, info)
+    found = found.unionByName(more)
+    if lacking is not None:
+        asks = lacking.groupBy("node").agg(F.collect_list(F.struct("step", "lacks", "costly")).alias("lacking"))
+        some = info.join(met(priced, lacking), "node", "left_semi").join(asks, "node", "left")
+        close = kept(exchange(texts(some).mapInArrow(_neighbours(bands, k, buckets), SCHEMA), parts, partial(_close, HOT, num, den), "a long, b long"), "close")
+        last = kept(close.where("b is null").select(F.col("a").alias("node")).distinct(), "unserved")
+        pairs = close.where("b is not null").join(last.withColumnRenamed("node", "a"), "a", "left_anti")
+        found = found.unionByName(links(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
+        if not last.isEmpty():
+            some = info.join(met(priced, lacking.join(last, "node", "left_semi")), "node", "left_semi").join(last.withColumn("asks", F.lit(True)), "node", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+            finer = shared(texts(some.select("node", "asks")).mapInArrow(_elements(num, den, k, buckets), SCHEMA))
+            more, priced, lacking = meet(finer, info)
+            found = found.unionByName(more)
+            if lacking is not None:
+                found = found.unionByName(kept(_compared(info, met(priced, lacking), lacking, texts, kept, parts, k, num, den), "compared"))
+    ends = kept(labelled(found), "components")
+    ids = classes.join(ends, "node", "left").select("node", "low", "first", F.coalesce("label", "node").alias("label"))
+    lowest = ids.groupBy("label").agg(F.min("low").alias("low"), F.min("first").alias("first"))
+    final, _ = store(ids.select("node", "label").join(lowest, "label").select("node", "low", "first"), "final")
+    drop(spark, *paths)
     return every, final
 
 
+def _compared(info, members, lacking, texts, kept, parts, k, num, den) -> DataFrame:
+    """Links of the sets that lack counts even by element: blocks of them meet all members of their groups."""
+    asks = kept(lacking.select("node").distinct(), "asks")
+    sets = kept(texts(info.select("node").join(members.union(asks).distinct(), "node")).mapInArrow(_content(k), "node long, elements binary").dropDuplicates(["node"]).join(info.select("node", "label"), "node"), "crowd")
+    asking = sets.join(asks, "node", "left_semi")
+    blocks = 1 + int(asking.agg(F.sum(F.length("elements"))).first()[0] or 0) // (8 * ASKED)
+    salts = max(1, min(parts, sets.count() // 1000))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    one = asking.select("node", "label", "elements", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"), upto(salts).alias("salt"), F.lit(True).alias("asks"))
+    all_ = sets.select("node", "label", "elements", upto(blocks).alias("block"), F.pmod(F.xxhash64("node", F.lit(1)), F.lit(salts)).alias("salt"), F.lit(False).alias("asks"))
+    dealt = one.unionByName(all_).repartition(max(parts, blocks * salts), "block", "salt").sortWithinPartitions("block", "salt", F.col("asks").desc())
+    return dealt.mapInArrow(_blocks(num, den), "a long, b long").distinct()
+
+
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """One row, all columns, of each component of ``docs``: that of the smallest id, of a null id only if there
-    is no other; of several texts under that id, that of the smallest hash. All rows without words stay."""
-    every, final = _components(docs, k, num, den, keyed=True)
+    is no other; of several texts under that id, that of the smallest hash. All rows without words stay. An empty
+    table stays empty; further columns, whatever their names, stay as they are."""
+    every, final = _components(docs, k, num, den)
     found = every.where("n > 0").join(final, "node").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))).alias("kept"))
     # a row is known by its id and text, as repeated and null ids stand for several
     found = found.groupBy("__d", "__t").agg(F.first("kept").alias("kept"), F.count("*").alias("copies"))

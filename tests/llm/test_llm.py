@@ -40,12 +40,16 @@ def test_segments():
     """Pairs at the threshold, made of few shingles too, share a full segment."""
     bands, rng = ngram_join.Bands(75, 100), np.random.default_rng(0)
     for size, more in ((3, 1), (6, 2), (9, 3), (24, 8), (300, 100)):
-        for _ in range(300):
+        for _ in range(100):
             large = rng.integers(0, 1 << 63, size + more, dtype=np.uint64)
-            band = bands.of(size)
-            found = [ngram_join.subsets(x, band, bands.segments(band)) for x in (large[:size], large)]
-            a, b = (set(ngram_join.signature(sums, sizes, full, band).tolist()) for full, _, sizes, sums in found)
-            assert a & b and len(found[0][0]) > bands.most(size)
+            elements, owner, sizes = ngram_join.flat([large[:size], large])
+            band, found = bands.of(size), [set(), set()]
+            for step in range(3):
+                of, at, segment, counts, sums, _, _ = ngram_join.subsets(bands, elements, owner, sizes, step)
+                for i, b, sig in zip(of, at, ngram_join.signature(at, segment, counts, sums), strict=True):
+                    if b == band:
+                        found[i].add(int(sig))
+            assert found[0] & found[1] and len(found[0]) > bands.most(size)
 
 
 @pytest.mark.parametrize("hot", [ngram_join.HOT, 0])
@@ -72,6 +76,32 @@ def test_components(odd, hot, monkeypatch):
     assert ngram_join.jaccard_components(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [24, 3, 0])
+def test_crowds(spark, hot, monkeypatch):
+    """Crowds of linked and unlinked near copies, of texts that share passages, and of parts of one text, against brute force."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    rng = random.Random(hot)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, passage, lines = ([word() for _ in range(n)] for n in (80, 60, 50))
+    texts = []
+    for i in range(60):
+        own = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            own[rng.randrange(len(own))] = word()
+        texts.append(own)
+        texts.append(passage + [word() for _ in range(rng.choice((8, 12, 15, 20, 40, 80)))])
+        texts.append(base[: rng.randrange(40, 80)] if i % 2 else passage[rng.randrange(0, 20) :] + lines[: rng.randrange(5, 50)])
+        texts.append([w for a in rng.sample(range(5), 3) for w in lines[10 * a : 10 * a + 10]])
+    sets = [shingles(" ".join(t)) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and root[i] != root[j]:
+            old, new = max(root[i], root[j]), min(root[i], root[j])
+            root = [new if x == old else x for x in root]
+    got = ngram_join.jaccard_components(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), root[i]) for i, s in enumerate(sets)}
+
+
 def test_one_null_id(spark):
     """A single null id in a table of otherwise unique ids links, and bridges texts that are apart."""
     words = [f"w{i}" for i in range(60)]
