@@ -1,7 +1,12 @@
-"""Labels that a classifier may learn from, and a bounded sample of their texts."""
+"""Labels that a classifier may learn from, and a model fitted to a bounded sample of them."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +18,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, each: int) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``each`` rows a class, the first by a hash of the id. Null texts and labels stay out."""
+def fitted(docs: DataFrame, labels: DataFrame, label: str, each: int, fit: Callable[[list[tuple[str, int]]], Any]) -> Any:
+    """What ``fit`` makes, in one task, of (text, label) rows of at most ``each`` documents a class: the first by a hash
+    of the id. Null texts and labels and held-out ids stay out; an id of several texts counts once a label, with the
+    text of the smallest hash. Only the model reaches the driver."""
     labels = labels.select(*pick(labels, "doc_id", label)).where(f"`{label}` in (0, 1)").where(~held_out(F.col("doc_id")))
     chosen = None
     for value in (0, 1):
-        part = labels.where(F.col(label) == value).select("doc_id", F.col(label).alias("y")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(each)
+        part = labels.where(F.col(label) == value).select("doc_id", F.col(label).cast("int").alias("y")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(each)
         chosen = part if chosen is None else chosen.unionByName(part)
     docs = docs.select(*pick(docs, "doc_id", "text")).where("text is not null")
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y")).collect()
-    return [(r.text, r.y) for r in sorted(rows, key=lambda r: (r.doc_id, r.y, r.text))]
+    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+    def run(batches):
+        held = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "y", "text")), strict=True)]
+        model = fit([(t, y) for _, y, t in sorted(held, key=lambda r: r[:2])])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    found = rows.coalesce(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found[0]) if found else fit([])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import gbdt
 from .bytes_np import LOWER, NOT_SPACE, mix, slices, word_bounds, word_hashes
-from .labelled import held_out, sample
+from .labelled import fitted, held_out
 from .work import pick
 
 #: Documents of each class that training sees at most.
@@ -67,6 +67,11 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def train(rows: list[tuple[str, int]]) -> gbdt.Trees:
+    x = [statistics(data, offsets) for _, _, data, offsets in slices(pa.array([t for t, _ in rows], pa.large_string()))]
+    return gbdt.fit(np.concatenate(x) if x else np.zeros((0, len(FEATURES))), np.array([y for _, y in rows], float))
+
+
 def quality(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: float = 0.3) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
 
@@ -75,9 +80,7 @@ def quality(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: flo
     bytes. With labels of one class the score is about that class; without labels it is 0.5.
     Repeated rows score equally; further columns are ignored.
     """
-    rows = sample(docs, labels, "quality", each)
-    x = [statistics(data, offsets) for _, _, data, offsets in slices(pa.array([t for t, _ in rows], pa.large_string()))]
-    trees = docs.sparkSession.sparkContext.broadcast(gbdt.fit(np.concatenate(x) if x else np.zeros((0, len(FEATURES))), np.array([y for _, y in rows], float)))
+    trees = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, "quality", each, train))
 
     def run(batches):
         for batch in batches:

@@ -6,16 +6,19 @@ one letter in a row are read as one word as well. A word's feature vector is its
 the landmarks times the inverse root of theirs. As that is linear in the subsequences, the trained
 machine folds into one table with a weight for each subsequence, and scoring is a look-up.
 
-Training: words of sentences from clean documents are negative; sentences of toxic documents
-are labelled toxic by their witnesses, words that several toxic and no clean document of
-the sample hold. The document's score is a logistic curve, fitted on other documents of the
+Training (multiple-instance, in one task): the first machine learns words, those that toxic
+documents hold far more often against others. The second learns labelled sentences, each by its
+worst word under the first: all sentences of clean documents as negative, of every toxic document
+the worst one as positive. The document's score is a logistic curve, fitted on other documents of the
 sample, of the margins of its three worst sentences and its length.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import combinations
 from zlib import crc32
 
@@ -25,13 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytes_np import LOWER, NOT_SPACE, slices, word_bounds, word_hashes
-from .labelled import held_out, sample
+from .labelled import fitted, held_out
 from .work import pick
 
 #: Documents of each class that training sees at most.
 EACH = 1500
 #: Words that the machine trains on at most: the most frequent witnesses, the most frequent other words, and others at random. Rarer witnesses are not learned.
 WITNESSES, OFTEN, RARE = 2000, 4000, 8000
+#: Rounds of training on sentences, and different worst words of clean sentences that a round learns at most (the most frequent).
+SENTENCE_ROUNDS, SENTENCES = 1, 6000
 DECAY, REACH, SYMBOLS, LANDMARKS = 0.6, 6, 40, 400
 #: Share of toxic documents that the score's curve supposes.
 PRIOR = 0.15
@@ -106,10 +111,19 @@ def packed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    table: np.ndarray
+    """Weights ``values`` of the subsequences ``columns`` (others weigh 0), the bias, and the score's curve."""
+
+    columns: np.ndarray
+    values: np.ndarray
     bias: float
     curve: np.ndarray
 
+    @cached_property
+    def table(self) -> np.ndarray:
+        table = np.zeros(GRAMS, np.float32)
+        table[self.columns] = self.values
+        return table
+
     def sentences(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, int]]:
         """For each row the margin of each sentence (its worst word), and its number of words."""
         data = LOWER[data]
@@ -169,82 +183,139 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return w
 
 
-def train(rows: list[tuple[str, int]], seed: int = 7) -> Model:
-    """Fit on (text, toxic) rows. With rows of one class or none every score is 0."""
-    quiet = Model(np.zeros(GRAMS, np.float32), -1.0, np.array([0.0] * 5 + [-30]))
-    rng = np.random.default_rng(seed)
-    part = rng.random(len(rows)) < 0.6
-    # copies and near copies of a document count once: most of their words stand between known neighbours (a quarter of these is kept, by hash)
-    docs, count = [0, 0], (Counter(), Counter())
-    for y in (1, 0):
-        seen: set[int] = set()
-        for (text, label), own in zip(rows, part, strict=True):
-            if own and label == y:
-                words = [w.strip(b".,!?;:#$%&*") for w in text.encode().lower().split()]
-                found = {h for x in zip([b"", *words], words, [*words[1:], b""], strict=False) if (h := crc32(b" ".join(x))) % 4 == 0}
-                if not found or len(found - seen) > 0.5 * len(found):
-                    docs[y] += 1
-                    seen |= found
-                    words = set(words) - {b""}
-                    stems = {w[:n] + b"*" for w in words for n in STEMS if len(w) > n}
-                    # of clean documents only the stems that toxic ones have matter
-                    count[y].update(words | (stems if y else stems & count[1].keys()))
-    # so often among toxic documents only that chance, over all words, does not explain it
-    share = docs[1] / max(docs[0], 1)
-    least = max(3, (np.log(len(count[1]) + 1) + 1) / max(np.log((docs[0] + docs[1] + 1) / (docs[1] + 1)), 1e-9))
+class Landmarks:
+    """Feature vectors of words: kernels with the landmarks, times the inverse root of the landmarks' own."""
+
+    def __init__(self, marks: list[bytes]):
+        found = list(subsequences(*packed(marks)))
+        self.columns = np.unique(np.concatenate([g for _, g, _ in found]))
+        self.place = np.full(GRAMS, -1, np.int64)
+        self.place[self.columns] = np.arange(len(self.columns))
+        basis, norm = np.zeros((len(self.columns), len(marks)), np.float32), np.zeros(len(marks))
+        for word, gram, decay in found:
+            np.add.at(basis, (self.place[gram], word), decay)
+            norm += np.bincount(word, minlength=len(marks)) * decay**2
+        basis /= np.sqrt(np.maximum(norm, 1e-12))
+        values, vectors = np.linalg.eigh((basis.T @ basis).astype(float))
+        keep = values > 1e-4
+        self.into = (basis @ (vectors[:, keep] / np.sqrt(values[keep]))).astype(np.float32)
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        """A row a word, with 1 for the bias."""
+        x = np.zeros((len(words), self.into.shape[1] + 1))
+        x[:, -1] = 1
+        for a in range(0, len(words), 2000):
+            own = words[a : a + 2000]
+            norm = np.zeros(len(own))
+            for word, gram, decay in subsequences(*packed(own)):
+                norm += np.bincount(word, minlength=len(own)) * decay**2
+                at = self.place[gram]
+                ok = at >= 0
+                row, rows_of = word[ok], self.into[at[ok]] * decay
+                if len(row):
+                    new = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+                    x[a + row[new], :-1] += np.add.reduceat(rows_of, new, axis=0)
+            x[a : a + 2000, :-1] /= np.sqrt(np.maximum(norm, 1e-12))[:, None]
+        return x
+
+    def model(self, w: np.ndarray, curve: np.ndarray) -> Model:
+        return Model(self.columns, (self.into @ w[:-1]).astype(np.float32), float(w[-1]), curve)
+
+
+def _sentences(text: str) -> list[list[bytes]]:
+    """Distinct words of each sentence."""
+    raw = LOWER[np.frombuffer(text.encode(), np.uint8)]
+    out = []
+    for line in raw.tobytes().split(b"\n"):
+        for part in re.split(rb"(?<=[.!?])\s+", line):
+            if words := part.split():
+                out.append(list(dict.fromkeys(words)))
+    return out
+
+
+def _apart(texts: list[str]) -> list[list[list[bytes]]]:
+    """Sentences of the texts, one of each group of copies and near copies: most of its words stand between known
+    neighbours (a quarter of these is kept, by hash)."""
+    seen: set[int] = set()
+    out = []
+    for text in texts:
+        sentences = _sentences(text)
+        words = [w for s in sentences for w in s]
+        found = {h for x in zip([b"", *words], words, [*words[1:], b""], strict=False) if (h := crc32(b" ".join(x))) % 4 == 0}
+        if not found or len(found - seen) > 0.5 * len(found):
+            seen |= found
+            out.append(sentences)
+    return out
+
+
+def _words(sentences: list[list[bytes]]) -> set[bytes]:
+    return {w.strip(b".,!?;:#$%&*") for s in sentences for w in s} - {b""}
+
+
+def _first(toxic: list, clean: list, rng) -> tuple[list[bytes], list[bytes]]:
+    """Words to begin with: those, or words with those stems, that toxic documents have so often that only chance over
+    all words does not explain it, and others. Neither need be there."""
+    count = (Counter(), Counter())
+    for y, docs in ((1, toxic), (0, clean)):
+        for sentences in docs:
+            words = _words(sentences)
+            stems = {w[:n] + b"*" for w in words for n in STEMS if len(w) > n}
+            # of clean documents only the stems that toxic ones have matter
+            count[y].update(words | (stems if y else stems & count[1].keys()))
+    share = len(toxic) / max(len(clean), 1)
+    least = max(3, (np.log(len(count[1]) + 1) + 1) / max(np.log((len(toxic) + len(clean) + 1) / (len(toxic) + 1)), 1e-9))
     strong = {w for w, n in count[1].items() if n >= least and n >= RATIO * share * (count[0][w] + 0.5)}
     known = lambda w: w in strong or any(w[:n] + b"*" in strong for n in STEMS)
     witness = sorted((w for w in count[1] if w[-1:] != b"*" and known(w) and not count[0][w] > count[1][w]), key=lambda w: (-count[1][w], w))[:WITNESSES]
-    clean = sorted(w for w in count[0] if w[-1:] != b"*" and not known(w))
-    if not witness or not clean or {y for (_, y), own in zip(rows, part, strict=True) if not own} != {0, 1}:
-        return quiet
-    often = sorted(clean, key=lambda w: (-count[0][w], w))[:OFTEN]
-    rare = [clean[i] for i in rng.permutation(len(clean))[:RARE]]
-    negative = list(dict.fromkeys(often + rare))
+    other = sorted(w for w in count[0] if w[-1:] != b"*" and not known(w))
+    often = sorted(other, key=lambda w: (-count[0][w], w))[:OFTEN]
+    return witness, list(dict.fromkeys(often + [other[i] for i in rng.permutation(len(other))[:RARE]]))
+
+
+def _balanced(sign: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights with which both classes count alike."""
+    return weight * np.where(sign > 0, 0.5 / max(weight[sign > 0].sum(), 1e-9), 0.5 / max(weight[sign < 0].sum(), 1e-9)) * len(sign)
+
+
+def train(rows: list[tuple[str, int]], seed: int = 7) -> Model:
+    """Fit on (text, toxic) rows. Where no word tells the classes apart, or one class is missing, every score is the
+    share of toxic rows (0 without rows)."""
+    mean = float(np.mean([y for _, y in rows])) if rows else 0.0
+    even = Model(np.zeros(0, np.int64), np.zeros(0, np.float32), -1.0, np.array([0.0] * 5 + [np.log(max(mean, 1e-13) / max(1 - mean, 1e-13))]))
+    rng = np.random.default_rng(seed)
+    part = rng.random(len(rows)) < 0.6
+    toxic, clean = (_apart([t for (t, label), own in zip(rows, part, strict=True) if own and label == y]) for y in (1, 0))
+    witness, negative = _first(toxic, clean, rng)
+    if not witness or not negative or {y for (_, y), own in zip(rows, part, strict=True) if not own} != {0, 1}:
+        return even
+    marks = witness[: LANDMARKS // 2] + [negative[i] for i in rng.permutation(len(negative))[: LANDMARKS // 2]]
+    features = Landmarks(marks)
     words = witness + negative
     sign = np.array([1.0] * len(witness) + [-1.0] * len(negative))
-    half_ = LANDMARKS // 2
-    marks = witness[:half_] + [negative[i] for i in rng.permutation(len(negative))[:half_]]
-    found = list(subsequences(*packed(marks)))
-    columns = np.unique(np.concatenate([g for _, g, _ in found]))
-    place = np.full(GRAMS, -1, np.int64)
-    place[columns] = np.arange(len(columns))
-    basis, norm = np.zeros((len(columns), len(marks)), np.float32), np.zeros(len(marks))
-    for word, gram, decay in found:
-        np.add.at(basis, (place[gram], word), decay)
-        norm += np.bincount(word, minlength=len(marks)) * decay**2
-    basis /= np.sqrt(np.maximum(norm, 1e-12))
-    values, vectors = np.linalg.eigh((basis.T @ basis).astype(float))
-    keep = values > 1e-4
-    half = vectors[:, keep] / np.sqrt(values[keep])
-    # the feature vectors of the words, through sparse rows of the landmarks' columns
-    x = np.zeros((len(words), int(keep.sum()) + 1))
-    x[:, -1] = 1
-    into = (basis @ half).astype(np.float32)
-    for a in range(0, len(words), 2000):
-        own = words[a : a + 2000]
-        norm = np.zeros(len(own))
-        for word, gram, decay in subsequences(*packed(own)):
-            norm += np.bincount(word, minlength=len(own)) * decay**2
-            at = place[gram]
-            ok = at >= 0
-            row, rows_of = word[ok], into[at[ok]] * decay
-            if len(row):
-                new = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
-                x[a + row[new], :-1] += np.add.reduceat(rows_of, new, axis=0)
-        x[a : a + 2000, :-1] /= np.sqrt(np.maximum(norm, 1e-12))[:, None]
-    weight = np.where(sign > 0, 0.5 * len(words) / len(witness), 0.5 * len(words) / len(negative))
-    w = machine(x, sign, weight)
-    table = np.zeros(GRAMS, np.float32)
-    table[columns] = into @ w[:-1]
-    model = Model(table, float(w[-1]), quiet.curve)
+    first = features(words)
+    w = machine(first, sign, _balanced(sign, np.ones(len(words))))
+    # then sentences are the rows, each as its worst word under the machine so far: all of clean documents, and of a toxic one its worst
+    for _ in range(SENTENCE_ROUNDS):
+        model = features.model(w, even.curve)
+        every = sorted({x for docs in (toxic, clean) for sentences in docs for s in sentences for x in s})
+        margin = dict(zip(every, margins(*packed(every), model.table, model.bias).tolist(), strict=True))
+        worst = lambda s, m=margin: max(s, key=lambda x: (m[x], x))
+        bad = Counter(max((worst(s) for s in sentences), key=lambda x: (margin[x], x)) for sentences in toxic if sentences)
+        bad = Counter({x: n for x, n in bad.items() if margin[x] > -1})
+        good = Counter(worst(s) for sentences in clean for s in sentences)
+        good = Counter(dict(good.most_common(SENTENCES)))
+        more = [*bad, *good]
+        signs = np.concatenate((sign, [1.0] * len(bad), [-1.0] * len(good)))
+        weight = np.concatenate((np.ones(len(sign)), [float(n) for n in (*bad.values(), *good.values())]))
+        w = machine(np.concatenate((first, features(more))), signs, _balanced(signs, np.sqrt(weight)))
+    model = features.model(w, even.curve)
     other = [r for r, own in zip(rows, part, strict=True) if not own]
     texts = pa.array([t for t, _ in other], pa.large_string())
     found = [s for _, _, data, offsets in slices(texts) for s in model.sentences(data, offsets)]
     y = np.array([v for _, v in other], float)
     balance = Counter(y.tolist())
     curve = logistic(model.features(found), y, np.array([len(y) * (PRIOR if v else 1 - PRIOR) / balance[v] for v in y.tolist()]))
-    return Model(model.table, model.bias, curve)
+    return Model(model.columns, model.values, model.bias, curve)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: float = 0.5) -> DataFrame:
@@ -252,11 +323,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: fl
 
     Learns from at most ``each`` documents a class of ``labels`` (doc_id, toxic) that are not
     held out; only the text enters a score. Null and empty texts are scored as texts without a
-    sentence. ``worst`` is the margin of the worst sentence (null without one). Without labels
-    of both classes every score is 0. Repeated rows score equally; further columns are ignored.
+    sentence. ``worst`` is the margin of the worst sentence (null without one). Where the labels have
+    one class only, or no word tells the classes apart, every score is the share of toxic labels (0
+    without labels). Repeated rows score equally; an empty table gives no rows; further columns are
+    ignored.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(train(sample(docs, labels, "toxic", each)))
+    model = spark.sparkContext.broadcast(fitted(docs, labels, "toxic", each, train))
 
     def run(batches):
         for batch in batches:
@@ -275,8 +348,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: fl
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores below the threshold."""
-    model = docs.sparkSession.sparkContext.broadcast(train(sample(docs, labels, "toxic", each)))
+    """The rows of ``docs``, all columns, whose text scores below the threshold (null and empty texts too, as texts
+    without a sentence). Repeated rows go or stay alike; an empty table stays empty."""
+    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, "toxic", each, train))
 
     def run(batches):
         for batch in batches:

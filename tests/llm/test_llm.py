@@ -6,9 +6,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from lodestone.llm import gbdt, media, mixing, ngram_join, notices, pii, token_cache, warc
+from lodestone.llm import gbdt, media, mixing, ngram_join, notices, pii, quality, token_cache, toxicity, warc
+from lodestone.llm.bytes_np import slices
 from lodestone.llm.decontaminate import contamination
 from lodestone.llm.queries import tokenizer_path
 
@@ -275,3 +277,50 @@ def test_trees():
     trees = gbdt.fit(x[:1500], y[:1500])
     assert ((trees.score(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
     assert gbdt.fit(x[:0], y[:0]).score(x[:1])[0] == 0.5
+
+
+def test_quality(spark):
+    """Held-out labels of the small tables, edge rows, and tables without rows or labels."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    rows = quality.quality(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    assert len(rows) > 40 and sum(r.predicted == r.quality for r in rows) >= 0.9 * len(rows)
+    odd_rows = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (2, "", "y"), (None, "a b c.", "z"), (3, "w " * 60000, "z")], "doc_id long, text string, quality string")
+    got = quality.quality(odd_rows, labels).collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got) and len({r.score for r in got if r.doc_id in (1, 2)}) == 1
+    assert [r.score for r in quality.quality(odd_rows, labels.limit(0)).collect()] == [0.5] * 5
+    assert quality.quality(odd_rows.limit(0), labels).count() == 0
+
+
+def test_toxicity(spark):
+    """Insults as learned, gapped, with inserted characters and spelled out are found; few labels and none give the share of toxic ones."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice(["la", "mo", "ri", "te", "su", "na", "ko", "pe"]) for _ in range(rng.randint(1, 4)))
+    bad = ["blockhead", "dimwit", "nitwit", "scoundrel"]
+    texts = []
+    for i in range(600):
+        words = [word() for _ in range(rng.randint(20, 80))]
+        if i % 4 == 0:
+            words[rng.randrange(len(words))] = rng.choice(bad)
+        texts.append(" ".join(w + "." * (rng.random() < 0.1) for w in words))
+    train_rows = [(t, int(i % 4 == 0)) for i, t in enumerate(texts)]
+    model = toxicity.train(train_rows)
+    prose = lambda: " ".join(word() for _ in range(30))
+    shown = [f"{prose()} {x} {prose()}" for x in ("blockhead", "DIMWIT", "scoun-drel", "block*head", "d.i.m.w.i.t", "n i t w i t", "scouundrel")]
+    clean = [prose() for _ in range(60)]
+    score = lambda ts: [s for _, _, data, offsets in slices(pa.array(ts, pa.large_string())) for s in model.score(model.features(model.sentences(data, offsets)))]
+    assert sum(s >= 0.5 for s in score(shown)) >= 6
+    assert sum(s >= 0.5 for s in score(clean)) <= 3
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts[:40])] + [(None, None, "x"), (900, "", "x"), (3, texts[3], "y")], "doc_id long, text string, toxic string")
+    one = spark.createDataFrame([(i, 1) for i in range(3)] + [(i, 0) for i in range(3, 12)], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, one).collect()
+    assert len(got) == 43 and len({r.score for r in got}) == 1 and 0 < got[0].score < 0.5
+    assert all(r.score < 1e-9 for r in toxicity.toxicity(docs, one.limit(0)).collect())
+    assert toxicity.toxicity(docs.limit(0), one).count() == 0
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
+    assert sum(r.predicted for r in rows if r.toxic == 0) <= 0.01 * len(rows)
