@@ -324,3 +324,100 @@ def test_toxicity_held_out(spark):
     toxic = [r for r in rows if r.toxic == 1]
     assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
     assert sum(r.predicted for r in rows if r.toxic == 0) <= 0.01 * len(rows)
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
+def test_personal_data_base(small):
+    """The base columns of all documents by the plain patterns."""
+    plain = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", lambda m: True), "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        "card": (r"[0-9](?:[\x20-]?[0-9])+", lambda m: 13 <= len(re.sub("[ -]", "", m)) <= 19 and pii.luhn(re.sub("[ -]", "", m))), "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15),
+    }
+    texts, n = {r.doc_id: r.text or "" for r in small.collect()}, 0
+    for r in pii.personal_data(small).collect():
+        spans = {k: [m.span() for m in re.finditer(p, texts[r.doc_id]) if ok(m[0])] for k, (p, ok) in plain.items()}
+        told = ",".join(f"{k}:{a}:{b}" for k, v in spans.items() for a, b in v)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [len(v) for v in spans.values()] and r.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert r.spans.startswith(told) and r.n_spans == (len(r.spans.split(",")) if r.spans else 0) == sum(map(len, spans.values())) + r.n_added
+        n += r.n_added
+    assert n > 0
+
+
+def test_personal_data_recall():
+    """Planted spans beyond the base kinds, in prose of their own, are found; look-alikes stay."""
+    rng = random.Random(17)
+    pool = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    prose = lambda: " ".join(pool("aeioulmnrst", rng.randint(2, 8)) for _ in range(20))
+    digits, upper = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    planted = {
+        "token": lambda: f'token = "{pool("0123456789abcdef", 40)}"', "key": lambda: "AKIA" + pool(upper + digits, 16), "password": lambda: "password=" + pool("abcdefgh" + digits + upper, 14),
+        "spelled": lambda: f"{pool('abcde', 5)}.{pool('lmno', 6)} [at] {pool('rst', 6)} [dot] com", "iban": lambda: "DE" + pool(digits, 20), "national": lambda: "ssn " + pool(digits, 3) + "-" + pool(digits, 2) + "-" + pool(digits, 4),
+    }
+    finder = pii.train()
+    for name, make in planted.items():
+        texts = [f"{prose()} {make()} {prose()}" for _ in range(60)]
+        assert sum(bool(more) for _, more in finder.spans(texts)) >= 0.9 * len(texts), name
+    clean = [f"{prose()} {x} {prose()}" for _ in range(30) for x in ("chapter 12.3", "updated 2024-05-11", "part " + pool(upper, 20), "serial " + pool(digits, 9))]
+    assert sum(bool(more) for _, more in finder.spans(clean)) <= 0.05 * len(clean)
+
+
+def test_notices_base(small):
+    """The base columns of all documents word by word."""
+    phrases = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+    texts = {r.doc_id: r.text or "" for r in small.collect()}
+    for r in notices.scan(small).collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[r.doc_id]))
+        places = [(i, label) for phrase, label in phrases.items() for p in [phrase.split()] for i in range(len(words)) if words[i : i + len(p)] == p]
+        at = [i for i, _ in places]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(words), len(places), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})))
+        assert {x for _, x in places} <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
+
+
+def test_media_columns(small):
+    import zlib
+
+    texts = {r.doc_id: (r.text or "").encode() for r in small.collect()}
+    for r in media.payloads(small).collect():
+        raw = texts[r.doc_id]
+        payload = raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert r.media_bytes > r.payload_bytes and len(r.media_sha256) == 64 and r.feature
+
+
+def test_token_counts(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {r.doc_id: (len((r.text or "").encode()), len(whole.encode(r.text or "", add_special_tokens=False))) for r in docs.collect()}
+    got = token_cache.token_counts(docs, tokenizer_path()).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in got} == want and all(r.over_limit == (r.n_tokens > 2048) for r in got)
+    assert token_cache.token_counts(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_mix_contract(small):
+    """Targets by the contract's rule, step by step; taken words near them, no document above twice its size."""
+    rows = mixing.mix(small).collect()
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in small.collect()}
+    by = {}
+    for r in rows:
+        assert r.size == size[r.doc_id] and 0 <= r.taken <= 2 * r.size
+        by.setdefault(r.source, []).append(r)
+    names = sorted(by, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    total = {s: sum(r.size for r in by[s]) for s in names}
+    left, open_, target = 1.5 * sum(total.values()), set(names), {}
+    while open_:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        full = {s for s in open_ if share[s] > 2 * total[s]}
+        for s in full or open_:
+            target[s] = min(share[s], 2 * total[s])
+            left -= target[s] if full else 0
+        open_ = open_ - full if full else set()
+    for s in names:
+        assert abs(by[s][0].target - target[s]) < 1e-6 * max(1, target[s]) and by[s][0].source_size == total[s]
+        assert abs(sum(r.taken for r in by[s]) - target[s]) <= max(64, 0.01 * target[s])
