@@ -20,7 +20,8 @@ LOWER[65:91] += 32
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POW = np.cumprod(np.full(1 << 10, _BASE, np.uint64))
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_POWERS = {}
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -32,11 +33,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def powers(n: int) -> np.ndarray:
-    global _POW
-    if n > len(_POW):
-        _POW = np.cumprod(np.full(max(n, 2 * len(_POW)), _BASE, np.uint64))
-    return _POW[:n]
+def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
+    """base, base^2, ..."""
+    if n > len(_POWERS.get(base, ())):
+        _POWERS[base] = np.cumprod(np.full(max(n, 1 << 10), base, np.uint64))
+    return _POWERS[base][:n]
 
 
 def slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -69,14 +70,12 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tupl
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the words, by differences of one running sum over all bytes."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    rel = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    at = rel + np.repeat(starts, lengths)
-    values = _BYTE[data[at]] * powers(int(lengths.max()))[rel]
-    return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * powers(len(data)), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * powers(len(data), _INVERSE)[starts] + (ends - starts).astype(np.uint64))
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> list[np.ndarray]:
@@ -95,7 +94,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> list[np.n
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= k:
-            out.append(np.unique(grams[a : b - k + 1]))
+            own = np.sort(grams[a : b - k + 1])
+            out.append(own[np.concatenate(([True], own[1:] != own[:-1]))])
         elif b > a:
             own = words[a:b]
             out.append(mix(np.array([(own * factors[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)], np.uint64)))

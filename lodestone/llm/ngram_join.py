@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .bytes_np import mix, shingle_sets, slices
 from .components import labelled
-from .packed import FINE, SCHEMA, deal, edges, exchange, received, rows, run_ends, whole_groups
+from .packed import SCHEMA, Dealer, dealt, edges, exchange, received, rows, run_ends, whole_groups
 from .work import BROADCAST_KEYS, drop, pick, sized, store
 
 #: A subset is costly to a set that would be compared with more than this many others through it.
@@ -56,7 +56,7 @@ SALT = np.uint64(0xA5A5A5A5)
 MEMBER, NEED, INFO, TAGGED, PRICED, ASK, COSTLY, NEIGHBOUR = range(8)
 LAYOUT = {
     MEMBER: (U64, I64, I8), NEED: (I64, I8, I32), INFO: (I64, I32, I64, I32), TAGGED: (U64, I64, I8, I32, I64, I32, I32),
-    PRICED: (U64, I64, I8, I32, I64, I32, I32, I32), ASK: (U64, I64), COSTLY: (U64, I64), NEIGHBOUR: (U64, I64, I8, I32, I64, I32),
+    PRICED: (U64, I64, I8, I32, I64, I32, I32, I32), ASK: (U64, I64), COSTLY: (U64,), NEIGHBOUR: (U64, I64, I8, I32, I64, I32),
 }
 
 
@@ -123,7 +123,7 @@ def subsets(bands: Bands, elements: np.ndarray, owner: np.ndarray, sizes: np.nda
     keep = there[owner]
     elements, owner = elements[keep], owner[keep]
     segment = (elements >> np.uint64(20)) % n[owner]
-    order = np.lexsort((segment, owner))
+    order = np.argsort((owner.astype(np.uint64) << np.uint64(40)) + segment)
     elements, owner, segment = elements[order], owner[order], segment[order]
     first = edges(owner) | edges(segment)
     starts = np.flatnonzero(first)
@@ -155,6 +155,10 @@ def odd_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _dealt(buckets, values, batches):
+    return dealt(buckets, values(batches))
+
+
 def _sets(batches, k):
     for batch in batches:
         for a, b, data, offsets in slices(batch.column("text"), BLOCK):
@@ -183,33 +187,34 @@ def _classes(k):
 def _index(bands, k, buckets):
     """MEMBER rows of the subsets of all texts, and NEED rows: how many of its subsets, at least, a set shares with a partner."""
 
-    def run(batches):
+    def values(batches):
         for _, sets in _sets(batches, k):
             elements, owner, sizes = flat(sets)
             nodes = classes_of(elements, sizes)
             for step in range(3):
                 of, band, segment, counts, sums, _, _ = subsets(bands, elements, owner, sizes, step)
-                yield from deal(signature(band, segment, counts, sums), MEMBER, (signature(band, segment, counts, sums), nodes[of], np.full(len(of), step, np.int8)), buckets)
+                sig = signature(band, segment, counts, sums)
+                yield sig, MEMBER, (sig, nodes[of], np.full(len(of), step, np.int8))
                 one = edges(of)
                 full = np.bincount(of, minlength=len(sizes))[of[one]] if len(of) else of
-                yield from deal(nodes[of[one]], NEED, (nodes[of[one]], np.full(int(one.sum()), step, np.int8), (full - allowed(bands, sizes[of[one]], band[one])).astype(np.int32)), buckets)
+                yield nodes[of[one]], NEED, (nodes[of[one]], np.full(int(one.sum()), step, np.int8), (full - allowed(bands, sizes[of[one]], band[one])).astype(np.int32))
 
-    return run
+    return lambda batches: dealt(buckets, values(batches))
 
 
 def _elements(num, den, k, buckets):
     """The finest partition: every element a subset, shared to num / den with a partner. Only sets with ``asks`` need partners."""
 
-    def run(batches):
+    def values(batches):
         for batch, sets in _known(batches, k):
             elements, owner, sizes = flat(sets)
             nodes = np.array(batch.column("node").to_pylist(), np.int64)
             asks = np.array(batch.column("asks").to_pylist(), bool)
             sig = mix(elements)
-            yield from deal(sig, MEMBER, (sig, nodes[owner], np.zeros(len(sig), np.int8)), buckets)
-            yield from deal(nodes, NEED, (nodes, np.zeros(len(nodes), np.int8), np.where(asks, -(-sizes * num // den), -1).astype(np.int32)), buckets)
+            yield sig, MEMBER, (sig, nodes[owner], np.zeros(len(sig), np.int8))
+            yield nodes, NEED, (nodes, np.zeros(len(nodes), np.int8), np.where(asks, -(-sizes * num // den), -1).astype(np.int32))
 
-    return run
+    return lambda batches: dealt(buckets, values(batches))
 
 
 def _shared(batches):
@@ -248,22 +253,22 @@ def _stars(batches):
             yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(np.diff(np.append(new, len(a))))], ["node", "centre", "m"])
 
 
-def _by_set(buckets, batches):
+def _by_set(batches):
     for batch in batches:
         for cols in batch.column("cols"):
             cols = tuple(np.frombuffer(c.as_py(), t) for c, t in zip(cols, LAYOUT[MEMBER], strict=True))
-            yield from deal(cols[1], MEMBER, cols, buckets)
+            yield cols[1], MEMBER, cols
 
 
-def _info(buckets, batches):
+def _info(batches):
     for batch in batches:
         cols = tuple(batch.column(c).to_numpy(zero_copy_only=False).astype(t) for c, t in zip(("node", "size", "label", "n"), LAYOUT[INFO], strict=True))
-        yield from deal(cols[0], INFO, cols, buckets)
+        yield cols[0], INFO, cols
 
 
-def _tagged(buckets, batches):
+def _tagged(batches):
     """Members with the size and label of their component, the size of the set and what it needs, dealt by subset."""
-    for _, got in received(batches, LAYOUT):
+    for _, got in received(batches, LAYOUT, {MEMBER: 1}):
         node, size, label, n = got[INFO]
         order = np.argsort(node)
         node, size, label, n = node[order], size[order], label[order], n[order]
@@ -274,7 +279,7 @@ def _tagged(buckets, batches):
         need = np.full((len(node), 3), -1, np.int32)
         of, of_step, least = got[NEED]
         need[np.searchsorted(node, of), of_step] = least
-        yield from deal(sig, TAGGED, (sig, member, step, size[at], label[at], n[at], need[at, step]), buckets)
+        yield sig, TAGGED, (sig, member, step, size[at], label[at], n[at], need[at, step])
 
 
 def _priced(batches):
@@ -295,18 +300,19 @@ def _priced(batches):
             yield from whole_groups(bucket, PRICED, first[mixed], tuple(c[mixed] for c in (*cols, cost)))
 
 
-def _prices(buckets, batches):
+def _prices(batches):
     """Members that something is asked of, dealt by set."""
     for batch in batches:
         for cols in batch.column("cols"):
             cols = [np.frombuffer(c.as_py(), t) for c, t in zip(cols, LAYOUT[PRICED], strict=True)]
             some = (cols[7] > 0) & (cols[6] >= 0)
-            yield from deal(cols[1][some], PRICED, tuple(c[some] for c in cols), buckets)
+            yield cols[1][some], PRICED, tuple(c[some] for c in cols)
 
 
 def _allotted(hot, buckets, batches):
     """ASK rows, and COSTLY rows of the sets that would have to ask costly subsets."""
-    for _, got in received(batches, LAYOUT):
+    dealer = Dealer(buckets)
+    for _, got in received(batches, LAYOUT, {PRICED: 1}):
         sig, node, step, _, _, _, need, cost = got[PRICED]
         order = np.lexsort((sig, -cost, step, node))
         sig, node, step, need, cost = (c[order] for c in (sig, node, step, need, cost))
@@ -317,15 +323,15 @@ def _allotted(hot, buckets, batches):
         sizes = np.diff(np.append(starts, len(sig)))
         asked = np.arange(len(sig)) - np.repeat(starts, sizes) >= need - 1
         cheap = asked & (cost <= hot)
-        yield from deal(sig[cheap], ASK, (sig[cheap], node[cheap]), buckets)
+        yield from dealer.add(sig[cheap], ASK, (sig[cheap], node[cheap]))
         lacks = np.add.reduceat((asked & (cost > hot)).astype(np.int64), starts)
         some = (np.repeat(lacks, sizes) > 0) & (cost > hot)
         if some.any():
             of = np.repeat(np.arange(len(starts)), sizes)[some]
-            each = edges(of)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(int(each.sum()), -1, np.int32)), pa.array(np.full(int(each.sum()), COSTLY, np.int32)),
-                 pa.array([[node[some][a].tobytes(), int(step[some][a]).to_bytes(8, "little"), int(lacks[of[a]]).to_bytes(8, "little"), sig[some][a:b].tobytes()] for a, b in zip(np.flatnonzero(each), np.append(np.flatnonzero(each)[1:], len(of)), strict=True)], pa.list_(pa.binary()))], ["bucket", "kind", "cols"])
+            cuts = np.append(np.flatnonzero(edges(of)), len(of))
+            told = [[node[some][a].tobytes(), int(step[some][a]).to_bytes(8, "little"), int(lacks[of[a]]).to_bytes(8, "little"), sig[some][a:b].tobytes()] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield rows([-1] * len(told), [COSTLY] * len(told), told)
+    yield from dealer.flush()
 
 
 def _lacking(batches):
@@ -364,11 +370,10 @@ def _pairs(num, den, batches):
             yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
 
 
-def _costly(buckets, batches):
+def _costly(batches):
     for batch in batches:
-        for node, sigs in zip(batch.column("node").to_pylist(), batch.column("costly").to_pylist(), strict=True):
-            sig = np.frombuffer(sigs, np.uint64)
-            yield from deal(sig, COSTLY, (sig, np.full(len(sig), node)), buckets)
+        sig = np.unique(np.concatenate([np.frombuffer(c, np.uint64) for c in batch.column("costly").to_pylist()]))
+        yield sig, COSTLY, (sig,)
 
 
 def _met(batches):
@@ -383,7 +388,7 @@ def _neighbours(bands, k, buckets):
     """NEIGHBOUR rows: of all members the exact subsets (role 2) and those with one deletion (3); of sets that lack counts
     the same (0 and 1) of as many cheap segments of the band as they lack. Sets with too few have a row of kind NEED."""
 
-    def run(batches):
+    def values(batches):
         for batch, sets in _known(batches, k):
             elements, owner, sizes = flat(sets)
             node, size, label, n = (np.array(batch.column(c).to_pylist(), t) for c, t in zip(("node", "size", "label", "n"), LAYOUT[INFO], strict=True))
@@ -395,9 +400,9 @@ def _neighbours(bands, k, buckets):
                 exact = signature(band, segment, counts, sums)
                 less = signature(band[at], segment[at], counts[at] - 1, sums[at] - mix(items ^ SALT))
                 some = counts[at] > 1
-                told = lambda i, role, sig: deal(sig, NEIGHBOUR, (sig, node[i], np.full(len(i), role, np.int8), size[i], label[i], n[i]), buckets)  # noqa: B023, E731
-                yield from told(of, 2, exact)
-                yield from told(of[at][some], 3, less[some])
+                told = lambda i, role, sig: (sig, NEIGHBOUR, (sig, node[i], np.full(len(i), role, np.int8), size[i], label[i], n[i]))  # noqa: B023, E731
+                yield told(of, 2, exact)
+                yield told(of[at][some], 3, less[some])
                 chosen, short = np.zeros(len(of), bool), []
                 for i, found in enumerate(lacks):
                     for r in found or []:
@@ -408,13 +413,13 @@ def _neighbours(bands, k, buckets):
                                 short.append(node[i])
                             else:
                                 chosen[own] = True
-                yield from told(of[chosen], 0, exact[chosen])
-                yield from told(of[at][chosen[at]], 1, less[chosen[at]])
+                yield told(of[chosen], 0, exact[chosen])
+                yield told(of[at][chosen[at]], 1, less[chosen[at]])
                 if short:
                     short = np.array(short, np.int64)
-                    yield from deal(short, NEED, (short, np.zeros(len(short), np.int8), np.zeros(len(short), np.int32)), buckets)
+                    yield short, NEED, (short, np.zeros(len(short), np.int8), np.zeros(len(short), np.int32))
 
-    return run
+    return lambda batches: dealt(buckets, values(batches))
 
 
 def _close(hot, num, den, batches):
@@ -526,7 +531,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     bands = Bands(num, den)
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    buckets = parts * FINE
+    buckets = parts
     paths: list[str] = []
 
     def kept(df: DataFrame, name: str) -> DataFrame:
@@ -557,22 +562,22 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
         side = lambda s: sets.select(F.col("node").alias(s), F.col("elements").alias(f"e{s}"))
         return kept(near.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(num, den), "a long, b long"), "links")
 
-    def packed(df: DataFrame, step, *args) -> DataFrame:
-        return df.mapInArrow(partial(step, *args), SCHEMA)
+    def packed(df: DataFrame, values) -> DataFrame:
+        return df.mapInArrow(partial(_dealt, buckets, values), SCHEMA)
 
     def shared(index: DataFrame) -> DataFrame:
         return kept(exchange(index, parts, _shared), "shared")
 
     def met(priced: DataFrame, lacking: DataFrame) -> DataFrame:
         """(node) of all members of the groups that are too costly for some set."""
-        return exchange(priced.unionByName(packed(lacking.select("node", "costly"), _costly, buckets)), parts, _met, "node long").distinct()
+        return exchange(priced.unionByName(packed(lacking.select("costly"), _costly)), parts, _met, "node long").distinct()
 
     def meet(multi: DataFrame, info: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
         """Links through cheap subsets between components, the priced groups, and the sets that lack counts (node, step, lacks, costly), None if there are none."""
-        members = packed(multi.where(f"kind = {MEMBER}"), _by_set, buckets)
-        tagged = exchange(members.unionByName(multi.where(f"kind = {NEED}")).unionByName(packed(info.select("node", "size", "label", "n"), _info, buckets)), parts, partial(_tagged, buckets))
+        members = packed(multi.where(f"kind = {MEMBER}"), _by_set)
+        tagged = exchange(members.unionByName(multi.where(f"kind = {NEED}")).unionByName(packed(info.select("node", "size", "label", "n"), _info)), parts, partial(_dealt, buckets, _tagged))
         priced = kept(exchange(tagged, parts, _priced), "priced")
-        allotted = kept(exchange(packed(priced, _prices, buckets), parts, partial(_allotted, HOT, buckets)), "allotted")
+        allotted = kept(exchange(packed(priced, _prices), parts, partial(_allotted, HOT, buckets)), "allotted")
         pairs = exchange(priced.unionByName(allotted.where(f"kind = {ASK}")), parts, partial(_pairs, num, den), "a long, b long").distinct()
         costly = allotted.where(f"kind = {COSTLY}")
         lacking = None if costly.isEmpty() else costly.mapInArrow(_lacking, "node long, step long, lacks long, costly binary")

@@ -1,8 +1,8 @@
 """Packed exchanges: arrays dealt to buckets as binary columns, so that one row carries many values.
 
-A step gets its rows bucket by bucket and holds one bucket at a time. There are ``FINE`` buckets
-a partition, so a task's memory follows a bucket's size (or the largest group of equal keys),
-not the partition's.
+A task gathers what it deals until ``FLUSH`` bytes are together, so rows are few and large. A step
+gets its rows bucket by bucket, a bucket a partition, and large buckets in pieces of whole keys:
+besides the bucket's own bytes, a task's memory follows a piece (or the largest group of equal keys).
 """
 
 from __future__ import annotations
@@ -14,25 +14,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SCHEMA = "bucket int, kind int, cols array<binary>"
-FINE = 32
-#: Values of a packed row at most (whole groups of equal keys stay together, however large).
-CHUNK = 1 << 16
+#: Bytes that a task gathers before it sends rows, values of a piece, and values of a stored row (whole groups of equal keys stay together, however large).
+FLUSH, PIECE, CHUNK = 24 << 20, 1 << 20, 1 << 16
 
 
 def rows(buckets, kinds, cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(kinds, pa.int32()), pa.array(cols, pa.list_(pa.binary()))], ["bucket", "kind", "cols"])
 
 
-def deal(key: np.ndarray, kind: int, cols: tuple[np.ndarray, ...], buckets: int) -> Iterator[pa.RecordBatch]:
-    """The values of ``cols``, dealt to buckets by ``key``."""
-    if not len(key):
-        return
-    bucket = (key.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-    sorted_cols = [c[order] for c in cols]
-    yield rows(bucket[cuts[:-1]], [kind] * (len(cuts) - 1), [[c[a:b].tobytes() for c in sorted_cols] for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+class Dealer:
+    """Deals values to buckets by a key."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.held, self.size = buckets, {}, 0
+
+    def add(self, key: np.ndarray, kind: int, cols: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        if len(key):
+            bucket = (key.view(np.uint64) % np.uint64(self.buckets)).astype(np.uint16 if self.buckets < 1 << 16 else np.int32)
+            self.held.setdefault(kind, []).append((bucket, *cols))
+            self.size += sum(c.nbytes for c in cols)
+            if self.size >= FLUSH:
+                yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for kind in list(self.held):
+            bucket, *cols = (np.concatenate(c) for c in zip(*self.held.pop(kind), strict=True))
+            order = np.argsort(bucket, kind="stable")
+            bucket, cols = bucket[order], [c[order] for c in cols]
+            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+            yield rows(bucket[cuts[:-1]].astype(np.int32), [kind] * (len(cuts) - 1), [[c[a:b].tobytes() for c in cols] for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+        self.size = 0
+
+
+def dealt(buckets: int, values: Iterator[tuple[np.ndarray, int, tuple[np.ndarray, ...]]]) -> Iterator[pa.RecordBatch]:
+    """Rows of all (key, kind, columns)."""
+    dealer = Dealer(buckets)
+    for key, kind, cols in values:
+        yield from dealer.add(key, kind, cols)
+    yield from dealer.flush()
 
 
 def whole_groups(bucket: int, kind: int, first: np.ndarray, cols: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
@@ -45,22 +64,29 @@ def whole_groups(bucket: int, kind: int, first: np.ndarray, cols: tuple[np.ndarr
         a = b
 
 
-def received(batches, layout: dict[int, tuple]) -> Iterator[tuple[int, dict[int, list[np.ndarray]]]]:
-    """Bucket by bucket the arrays of each kind, as ``layout`` types them; a kind that is not there has empty arrays."""
+def received(batches, layout: dict[int, tuple], key: dict[int, int] | None = None) -> Iterator[tuple[int, dict[int, list[np.ndarray]]]]:
+    """Bucket by bucket, in pieces of whole keys, the arrays of each kind, as ``layout`` types them; a kind that is not
+    there has empty arrays. ``key`` names the key's column where it is not the first."""
 
     def made(held):
-        return {k: [np.concatenate([np.frombuffer(row[i], t) for row in held[k]]) if held.get(k) else np.zeros(0, t) for i, t in enumerate(types)] for k, types in layout.items()}
+        found = {k: [np.concatenate([np.frombuffer(row[i], t) for row in held[k]]) for i, t in enumerate(layout[k])] for k in list(held)}
+        pieces = 1 + max(len(c[0]) for c in found.values()) // PIECE
+        of = {k: (c[(key or {}).get(k, 0)].view(np.uint64) >> np.uint64(33)) % np.uint64(pieces) for k, c in found.items()} if pieces > 1 else {}
+        for i in range(pieces):
+            yield {k: [np.zeros(0, t) for t in types] if k not in found else [c[of[k] == i] for c in found[k]] if pieces > 1 else found[k] for k, types in layout.items()}
 
     now, held = None, {}
     for batch in batches:
         for bucket, kind, cols in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             if bucket != now and now is not None:
-                yield now, made(held)
+                for piece in made(held):
+                    yield now, piece
                 held = {}
             now = bucket
             held.setdefault(kind, []).append(cols.as_py())
     if now is not None:
-        yield now, made(held)
+        for piece in made(held):
+            yield now, piece
 
 
 def exchange(df: DataFrame, parts: int, step: Callable, schema: str = SCHEMA) -> DataFrame:
