@@ -8,6 +8,7 @@ besides the bucket's own bytes, a task's memory follows a piece (or the largest
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,13 +16,35 @@ from pyspark.sql import DataFrame
 
 SCHEMA = "bucket int, kind int, cols array<binary>"
 #: Bytes that a task gathers before it sends rows, values of a piece, and values of a stored row (whole groups of equal keys stay together, however large).
-FLUSH, PIECE, CHUNK = 24 << 20, 1 << 20, 1 << 16
+FLUSH, PIECE, CHUNK = 6 << 20, 1 << 18, 1 << 16
 
 
 def rows(buckets, kinds, cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(kinds, pa.int32()), pa.array(cols, pa.list_(pa.binary()))], ["bucket", "kind", "cols"])
 
 
+def _hash(i: int) -> int:
+    """Spark's hash of an int column (Murmur3, seed 42), by which ``repartition`` places rows."""
+    mask, turn = 0xFFFFFFFF, lambda x, n: (x << n | x >> (32 - n)) & 0xFFFFFFFF
+    h = 42 ^ (turn(i * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask)
+    h = (turn(h, 13) * 5 + 0xE6546B64 & mask) ^ 4
+    h = (h ^ h >> 16) * 0x85EBCA6B & mask
+    h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+@cache
+def names(buckets: int) -> np.ndarray:
+    """A number for each bucket that ``repartition`` sends to a partition of its own."""
+    found: dict[int, int] = {}
+    i = 0
+    while len(found) < buckets:
+        found.setdefault(_hash(i) % buckets, i)
+        i += 1
+    return np.array([found[p] for p in range(buckets)], np.int32)
+
+
 class Dealer:
     """Deals values to buckets by a key."""
 
@@ -42,7 +65,7 @@ class Dealer:
             order = np.argsort(bucket, kind="stable")
             bucket, cols = bucket[order], [c[order] for c in cols]
             cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-            yield rows(bucket[cuts[:-1]].astype(np.int32), [kind] * (len(cuts) - 1), [[c[a:b].tobytes() for c in cols] for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+            yield rows(names(self.buckets)[bucket[cuts[:-1]]], [kind] * (len(cuts) - 1), [[c[a:b].tobytes() for c in cols] for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
         self.size = 0
 
 
