@@ -531,7 +531,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     bands = Bands(num, den)
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    buckets = parts
+    buckets, few = parts, max(8, parts // 4)
     paths: list[str] = []
 
     def kept(df: DataFrame, name: str) -> DataFrame:
@@ -576,11 +576,11 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
         """Links through cheap subsets between components, the priced groups, and the sets that lack counts (node, step, lacks, costly), None if there are none."""
         members = packed(multi.where(f"kind = {MEMBER}"), _by_set)
         tagged = exchange(members.unionByName(multi.where(f"kind = {NEED}")).unionByName(packed(info.select("node", "size", "label", "n"), _info)), parts, partial(_dealt, buckets, _tagged))
-        priced = kept(exchange(tagged, parts, _priced), "priced")
-        allotted = kept(exchange(packed(priced, _prices), parts, partial(_allotted, HOT, buckets)), "allotted")
+        priced = kept(exchange(tagged, parts, _priced).coalesce(few), "priced")
+        allotted = kept(exchange(packed(priced, _prices), parts, partial(_allotted, HOT, buckets)).coalesce(few), "allotted")
         pairs = exchange(priced.unionByName(allotted.where(f"kind = {ASK}")), parts, partial(_pairs, num, den), "a long, b long").distinct()
         costly = allotted.where(f"kind = {COSTLY}")
-        lacking = None if costly.isEmpty() else costly.mapInArrow(_lacking, "node long, step long, lacks long, costly binary")
+        lacking = None if costly.isEmpty() else kept(costly.mapInArrow(_lacking, "node long, step long, lacks long, costly binary"), "lacking")
         return links(pairs), priced, lacking
 
     # all rows but the first of classes with several
@@ -598,7 +598,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
     if lacking is not None:
         asks = lacking.groupBy("node").agg(F.collect_list(F.struct("step", "lacks", "costly")).alias("lacking"))
         some = info.join(met(priced, lacking), "node", "left_semi").join(asks, "node", "left")
-        close = kept(exchange(texts(some).mapInArrow(_neighbours(bands, k, buckets), SCHEMA), parts, partial(_close, HOT, num, den), "a long, b long"), "close")
+        close = kept(exchange(texts(some).mapInArrow(_neighbours(bands, k, buckets), SCHEMA), parts, partial(_close, HOT, num, den), "a long, b long").coalesce(few), "close")
         last = kept(close.where("b is null").select(F.col("a").alias("node")).distinct(), "unserved")
         pairs = close.where("b is not null").join(last.withColumnRenamed("node", "a"), "a", "left_anti")
         found = found.unionByName(links(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
