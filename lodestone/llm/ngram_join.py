@@ -52,11 +52,11 @@ U64, I64, I32, I8 = np.dtype(np.uint64), np.dtype(np.int64), np.dtype(np.int32),
 SALT = np.uint64(0xA5A5A5A5)
 # kinds of packed rows: a subset's member (by subset), the allowance of a set (by set), its component (by set),
 # a member with its component (by subset), the same with its cost, a subset that is asked, one that is too costly
-# to ask, one that a deletion leads to or from
-MEMBER, NEED, INFO, TAGGED, PRICED, ASK, COSTLY, NEIGHBOUR = range(8)
+# to ask, one that a deletion leads to or from, a set's name
+MEMBER, NEED, INFO, TAGGED, PRICED, ASK, COSTLY, NEIGHBOUR, NAMED = range(9)
 LAYOUT = {
     MEMBER: (U64, I64, I8), NEED: (I64, I8, I32), INFO: (I64, I32, I64, I32), TAGGED: (U64, I64, I8, I32, I64, I32, I32),
-    PRICED: (U64, I64, I8, I32, I64, I32, I32, I32), ASK: (U64, I64), COSTLY: (U64,), NEIGHBOUR: (U64, I64, I8, I32, I64, I32),
+    PRICED: (U64, I64, I8, I32, I64, I32, I32, I32), ASK: (U64, I64), COSTLY: (U64,), NEIGHBOUR: (U64, I64, I8, I32, I64, I32), NAMED: (I64,),
 }
 
 
@@ -377,9 +377,15 @@ def _costly(batches):
 
 
 def _met(batches):
-    """Sets of the groups that are too costly for some set."""
+    """Sets of the groups that are too costly for some set, dealt by set."""
     for _, got in received(batches, LAYOUT):
         node = np.unique(got[PRICED][1][np.isin(got[PRICED][0], got[COSTLY][0])])
+        yield node, NAMED, (node,)
+
+
+def _once(batches):
+    for _, got in received(batches, LAYOUT):
+        node = np.unique(got[NAMED][0])
         if len(node):
             yield pa.RecordBatch.from_arrays([pa.array(node)], ["node"])
 
@@ -570,7 +576,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
 
     def met(priced: DataFrame, lacking: DataFrame) -> DataFrame:
         """(node) of all members of the groups that are too costly for some set."""
-        return exchange(priced.unionByName(packed(lacking.select("costly"), _costly)), parts, _met, "node long").distinct()
+        return exchange(exchange(priced.unionByName(packed(lacking.select("costly"), _costly)), parts, partial(_dealt, buckets, _met)), parts, _once, "node long")
 
     def meet(multi: DataFrame, info: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
         """Links through cheap subsets between components, the priced groups, and the sets that lack counts (node, step, lacks, costly), None if there are none."""
