@@ -45,7 +45,7 @@ from .work import BROADCAST_KEYS, drop, pick, sized, store
 #: A subset is costly to a set that would be compared with more than this many others through it.
 HOT = 24
 #: Bytes of text handled at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Elements of a block of sets that are compared with all members of their groups.
 ASKED = 1 << 21
 U64, I64, I32, I8 = np.dtype(np.uint64), np.dtype(np.int64), np.dtype(np.int32), np.dtype(np.int8)

@@ -103,7 +103,7 @@ def scan(docs: DataFrame, notices: tuple = NOTICES) -> DataFrame:
         scanner = Scanner(notices).build()
         phrases = [(label, f" {phrase} ") for label, phrase in BASE]
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column("text"), 1 << 20):
+            for a, b, data, offsets in slices(batch.column("text"), 1 << 18):
                 data = LOWER[data]
                 starts, ends, first = word_bounds(data, offsets, ALNUM)
                 out = []

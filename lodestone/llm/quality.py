@@ -84,7 +84,7 @@ def quality(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: flo
 
     def run(batches):
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column("text"), 1 << 20):
+            for a, b, data, offsets in slices(batch.column("text"), 1 << 18):
                 score = trees.value.score(statistics(data, offsets))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])

@@ -333,7 +333,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, each: int = EACH, threshold: fl
 
     def run(batches):
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column("text"), 1 << 20):
+            for a, b, data, offsets in slices(batch.column("text"), 1 << 17):
                 found = model.value.sentences(data, offsets)
                 score = model.value.score(model.value.features(found))
                 rows = batch.slice(a, b - a)
@@ -355,7 +355,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, each: int = EACH, threshol
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            for a, b, data, offsets in slices(batch.column(at), 1 << 20):
+            for a, b, data, offsets in slices(batch.column(at), 1 << 17):
                 score = model.value.score(model.value.features(model.value.sentences(data, offsets)))
                 yield batch.slice(a, b - a).filter(pa.array(score < threshold))
 

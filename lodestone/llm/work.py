@@ -17,9 +17,11 @@ BROADCAST_KEYS = 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one of our own is set only if there is none."""
+    """The session's checkpoint folder; one of our own is set only on one machine, if there is none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="lodestone-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -45,14 +47,6 @@ def drop(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of stages whose frames are gone (it does so when the JVM collects garbage)."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_KEYS) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows stay within ``limit``, else as it is (the join then shuffles)."""
     n = df.count() if rows is None else rows
