@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.order import placed as in_order
 from .work import drop, pick, sized, store
 
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2
-#: Words of a block (fewer where the whole corpus has under BLOCK * 65536 words) and of a shard.
+#: Words of a block (fewer where the whole corpus has under BLOCK * 65536 words, so that small ones still have many blocks) and of a shard.
 BLOCK, SHARD = 64, 2_000_000
 
 
@@ -42,19 +43,20 @@ def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
 
     ``size`` counts words between ASCII white space (null: 0); ``taken`` is how many of them the
     mix takes, repeats counted, at most 2 * size. A null source is a source. Rows of equal id
-    and size may swap their taken counts; otherwise reruns agree. Empty texts take 0, an empty
+    and text may swap their taken counts; otherwise reruns agree. Empty texts take 0, an empty
     table gives no rows. Further columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(*pick(docs, "doc_id", "text", "source"))
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    sizes, sizes_path = store(docs.select("doc_id", "source", size.alias("size")), "sizes")
+    sizes, sizes_path = store(docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("text_hash")), "sizes")
     aims, aims_path = store(targets(sizes), "targets")
     total = sizes.agg(F.sum("size")).first()[0] or 0
     block = max(1, min(BLOCK, total // 65536))
     parts = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD)).cast("long")
-    dealt = sizes.join(sized(aims, limit=100_000), sizes["source"].eqNullSafe(aims["source"])).select("doc_id", sizes["source"], "size", "source_size", "target")
-    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(seed)), parts))
+    dealt = sizes.join(sized(aims, limit=100_000), sizes["source"].eqNullSafe(aims["source"])).select("doc_id", sizes["source"], "size", "text_hash", "source_size", "target")
+    # null ids are dealt by their texts
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")), F.lit(seed)), parts))
     shards = dealt.groupBy("source", "shard").agg(F.sum("size").alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("aim"))
     shards = shards.where("words > 0").withColumn("aim", F.col("aim") * F.col("words") / F.col("source_size"))
     shards, shards_path = store(shards, "shards")
@@ -66,13 +68,14 @@ def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
     bids = shards.withColumn("low", F.greatest(F.lit(0), F.floor(near - width))).withColumn("high", F.least(F.ceil(near + width), CAP * F.ceil(F.col("words") / block)))
     sure = bids.agg(F.sum("low")).first()[0] or 0
     bids = bids.where("high > low").select("source", "shard", "aim", F.explode(F.expr("sequence(low, high - 1)")).alias("k"))
-    best = Window.orderBy((F.col("aim") / (2 * F.col("k") + 1)).desc(), F.col("source").asc_nulls_last(), "shard", "k")
-    won = bids.withColumn("place", F.row_number().over(best)).where(F.col("place") <= house - sure).groupBy("source", "shard").agg(F.count("*").alias("won"))
+    # places by quotient without a window over all bids
+    best = in_order(bids, -(F.col("aim") / (2 * F.col("k") + 1)), [F.col("source").asc_nulls_last(), F.col("shard"), F.col("k")])
+    won = best.where(F.col("place") <= house - sure).groupBy("source", "shard").agg(F.count("*").alias("won"))
     won = won.withColumnsRenamed({"source": "s", "shard": "h"})
     quota = shards.join(won, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")), "left")
     quota = quota.select(F.col("source").alias("s"), F.col("shard").alias("h"), "words", (F.greatest(F.lit(0), F.floor(near - width)) + F.coalesce("won", F.lit(0))).cast("long").alias("quota"))
     quota, quota_path = store(quota, "quota")
-    stand = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed), "doc_id", "size"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    stand = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed), "doc_id", "size", "text_hash"), "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
     placed = dealt.withColumn("b", F.sum("size").over(stand))
     placed = placed.join(sized(quota, limit=100_000), F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")), "left")
     placed = placed.withColumns({"a": F.col("b") - F.col("size"), "n": F.ceil(F.col("words") / block).cast("long")})
