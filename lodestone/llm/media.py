@@ -181,7 +181,7 @@ def payloads(docs: DataFrame) -> DataFrame:
     path = fresh_path(spark, "media")
     docs.mapInArrow(write, f"doc_id {kind}, n_bytes long, media binary").write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(f"doc_id {kind}, n_bytes long, media binary").parquet(path)
-    return stored.mapInArrow(read, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary").select("doc_id", "n_bytes", *NAMES[:-1], F.length("tile").cast("long").alias("tile_bytes"))
+    return stored.mapInArrow(read, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary").select("doc_id", "n_bytes", *NAMES)
 
 
 NAMES = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile")
