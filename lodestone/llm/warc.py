@@ -176,6 +176,8 @@ def read_archives(spark: SparkSession, index: DataFrame, folder: str) -> DataFra
 
     members = index.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("m"))
     members = members.select("archive", F.col("m.offset").alias("offsets"), F.col("m.length").alias("lengths"))
+    # an archive a task, however short the index
+    members = members.repartition(max(1, min(index.select("archive").distinct().count(), 100_000)))
     return members.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 

@@ -24,7 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="lodestone-")
         spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    # by the store's full name: a path without a scheme is one of Hadoop's default file system, not of a machine's disk
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(named)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
