@@ -26,7 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": lambda s, d: mixing.mix(docs(s, d)),
         "op2_media": lambda s, d: media.payloads(docs(s, d)),
         "op3_warc": lambda s, d: warc.archived(_read(s, d, "pages")),
-        "op4_token_counts": lambda s, d: token_cache.token_counts(docs(s, d), tokenizer_path()),
+        "op4_token_counts": lambda s, d: token_cache.token_counts(docs(s, d), tokenizer_path(), s.conf.get("spark.lodestone.tokenCache", None)),
         "op5_quality": lambda s, d: quality.quality(docs(s, d), _read(s, d, "labels")),
         "op6_decontamination": lambda s, d: decontaminate.contamination(docs(s, d), _read(s, d, "benchmark")).drop("text_hash"),
         "op7_toxicity": lambda s, d: toxicity.toxicity(docs(s, d), _read(s, d, "labels")),

@@ -58,7 +58,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes (UTF-8), n_tokens, over_limit.
 
     ``tokenizer`` is the path of a tokenizer file on every machine; ``cache`` a folder of the
-    store, kept between runs (a fresh one if not given). Null counts as empty. Repeated texts
+    store, kept between runs (a fresh one if not given). The query takes the folder that the session
+    names in spark.lodestone.tokenCache. Null counts as empty. Repeated texts
     are encoded once. No begin, end or special tokens are added; no truncation. An empty table
     gives no rows; further columns are ignored.
     """
@@ -67,11 +68,14 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     texts = docs.select(*pick(docs, "doc_id", "text")).withColumn("text", F.coalesce("text", F.lit("")))
     keyed = texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("digest"))
     keys, _ = store(keyed, "digests")
+    own, _ = store(keys.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "distinct")
     spark.createDataFrame([], _SCHEMA).write.mode("append").parquet(cache)
     known = spark.read.schema(_SCHEMA).parquet(cache).where(F.col("version") == version).select("digest", "n_tokens").dropDuplicates(["digest"])
-    missing = keys.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).join(known, "digest", "left_anti").select("digest", F.col("doc_id").alias("first"))
-    missing, _ = store(missing, "missing")
-    by_id = texts.join(sized(missing.where("first is not null").select(F.col("first").alias("doc_id")).distinct()), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
+    missing, _ = store(own.join(known, "digest", "left_anti").select("digest", "first"), "missing")
+    by_id = texts.join(sized(missing.where("first is not null").select(F.col("first").alias("doc_id")).distinct()), "doc_id", "left_semi").select("text")
+    # texts that only null ids have are known by their digests
+    nameless = texts.where("doc_id is null").select("text", F.unhex(F.sha2("text", 256)).alias("digest")).join(missing.where("first is null").select("digest"), "digest", "left_semi").select("text")
+    wanted = by_id.unionByName(nameless.distinct())
 
     def run(batches):
         count = Counter(tokenizer)
@@ -80,7 +84,12 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
                 own = batch.slice(a, 256).column("text").to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(t.encode()).digest() for t in own], pa.binary()), pa.array(count(own), pa.int64())], ["digest", "n_tokens"])
 
-    fresh = by_id.select("text").mapInArrow(run, "digest binary, n_tokens long").join(missing.select("digest"), "digest", "left_semi")
+    fresh = wanted.mapInArrow(run, "digest binary, n_tokens long").join(missing.select("digest"), "digest", "left_semi")
     fresh.select("digest", F.lit(version).alias("version"), "n_tokens").dropDuplicates(["digest"]).write.mode("append").parquet(cache)
     counts = spark.read.schema(_SCHEMA).parquet(cache).where(F.col("version") == version).select("digest", "n_tokens").dropDuplicates(["digest"])
-    return keys.join(counts, "digest", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # a digest of over a thousandth of the rows (at most a thousand are) is joined by broadcast: its copies stay where they are
+    often = own.where(F.col("copies") * 1000 > keys.count()).select("digest")
+    hot = F.broadcast(counts.join(F.broadcast(often), "digest"))
+    rest = keys.join(F.broadcast(often), "digest", "left_anti").join(counts, "digest", "left")
+    told = keys.join(hot, "digest").unionByName(rest)
+    return told.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
