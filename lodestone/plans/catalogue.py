@@ -11,396 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, similarity, text, urls
-from ..operators import curation, relevance
-
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-#: A topic of words that occur in the corpus.
-TOPIC = relevance.Topic(target=("that",), member=("with",), disease=("from",), related=("which", "une"), context=("for", "was"), excluded=("und",))
-_SPACE = "trim(regexp_replace(coalesce({0}, ''), '[ \\t\\n\\r\\f]+', ' ', 'g'))"
-
-
-def query(name: str, sql: str | None = None):
-    def put(f):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
-
-        run.__doc__ = f.__doc__
-        _QUERIES[name] = run
-        if sql:
-            _SQL[name] = sql
-        return f
-
-    return put
-
-
-def _has(expr: str, term: str) -> str:
-    return f"regexp_matches(lower({expr}), '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
-
-
-# scalars ---------------------------------------------------------------------------------------
-@query("scl_clean_space", f"SELECT doc_id, {_SPACE.format('text')} AS clean, length({_SPACE.format('text')})::INT AS n FROM documents")
-def _(t):
-    c = text.clean_space(F.col("text"))
-    return t("documents").select("doc_id", c.alias("clean"), F.length(c).alias("n"))
-
-
-@query("scl_strip_tags", f"SELECT page_id, {_SPACE.format(chr(39).join(['regexp_replace(html, ', '<[^>]+>', ', ', ' ', ', ', 'g', ')']))} AS plain FROM pages")
-def _(t):
-    return t("pages").select("page_id", text.strip_tags(F.col("html")).alias("plain"))
-
-
-@query("scl_html_escape", "SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS safe FROM pages")
-def _(t):
-    return t("pages").select("page_id", text.html_escape(F.col("html")).alias("safe"))
-
-
-@query("scl_ids", "SELECT o_orderkey, '10.' || (1000 + o_orderkey % 9000)::VARCHAR || '/x' || o_orderkey::VARCHAR AS doi, o_orderkey::VARCHAR AS pmid, 'PMC' || o_orderkey::VARCHAR AS pmcid FROM orders")
-def _(t):
-    """Normalised identifiers from their dressed forms."""
-    key = F.col("o_orderkey").cast("string")
-    bare = F.concat(F.lit("10."), (1000 + F.col("o_orderkey") % 9000).cast("string"), F.lit("/x"), key)
-    dressed = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("https://doi.org/"), F.upper(bare))).otherwise(F.concat(F.lit("doi: "), bare, F.lit(".")))
-    return t("orders").select("o_orderkey", text.normalize_doi(dressed).alias("doi"), text.normalize_pmid(F.concat(F.lit("PMID "), key)).alias("pmid"), text.normalize_pmcid(F.concat(F.lit("pmc"), key)).alias("pmcid"))
-
-
-@query("scl_extract_doi", "SELECT o_orderkey, '10.' || (1000 + o_orderkey % 9000)::VARCHAR || '/x' || o_orderkey::VARCHAR AS doi FROM orders")
-def _(t):
-    note = F.concat(F.lit("see 10."), (1000 + F.col("o_orderkey") % 9000).cast("string"), F.lit("/X"), F.col("o_orderkey").cast("string"), F.lit("). more"))
-    return t("orders").select("o_orderkey", text.extract_doi(note).alias("doi"))
-
-
-@query("scl_numbers", "SELECT doc_id, list_transform(regexp_extract_all(text, '([0-9][0-9,]*(?:\\.[0-9]+)?%?)', 1), lambda x: replace(x, ',', '')) AS numbers FROM documents")
-def _(t):
-    return t("documents").select("doc_id", text.extract_numbers(F.col("text")).alias("numbers"))
-
-
-@query("scl_truncate", "SELECT doc_id, CASE WHEN length(text) > 80 THEN rtrim(left(text, 79)) || '…' ELSE text END AS short FROM documents")
-def _(t):
-    return t("documents").select("doc_id", text.truncate(F.col("text"), 80).alias("short"))
-
-
-_N = "len(regexp_extract_all(text, '{0}'))"
-_SCRIPT = {"latin": "[A-Za-z]", "han": "[\\x{4e00}-\\x{9fff}]", "kana": "[\\x{3040}-\\x{30ff}]", "hangul": "[\\x{ac00}-\\x{d7af}]", "cyrillic": "[\\x{0400}-\\x{04ff}]"}
-
-
-@query("scl_language", f"""SELECT doc_id, {_N.format(_SCRIPT['latin'])}::INT AS latin, CASE WHEN {_N.format(_SCRIPT['kana'])} >= 2 THEN 'ja' WHEN {_N.format(_SCRIPT['hangul'])} >= 2 THEN 'ko'
- WHEN {_N.format(_SCRIPT['cyrillic'])} > {_N.format(_SCRIPT['latin'])} THEN 'ru' WHEN lower(lang) <> '' THEN lower(lang) WHEN {_N.format(_SCRIPT['latin'])} > 0 THEN 'en' ELSE 'und' END AS detected FROM documents""")
-def _(t):
-    return t("documents").select("doc_id", text.script_count(F.col("text"), "latin").cast("int").alias("latin"), text.detect_language(F.col("text"), F.col("lang")).alias("detected"))
-
-
-@query("scl_semantic_key", "SELECT doc_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', '', 'g') AS skey FROM documents")
-def _(t):
-    return t("documents").select("doc_id", text.semantic_key(F.col("text")).alias("skey"))
-
-
-@query("scl_redact_secrets", "SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)(bearer |key=|token=|password=)[^\\s&\"]+', '\\1[redacted]', 'g'), 'AKIA[A-Z0-9]{16}|sk-[A-Za-z0-9_-]{8,}', '[redacted]', 'g') AS safe FROM documents")
-def _(t):
-    return t("documents").select("doc_id", text.redact_secrets(F.col("text")).alias("safe"))
-
-
-@query("bud_token_estimate", "SELECT doc_id, ceil(len(regexp_extract_all(text, '[\\x00-\\x7F]')) / 3.6::DOUBLE + (length(text) - len(regexp_extract_all(text, '[\\x00-\\x7F]'))) / 1.5::DOUBLE)::BIGINT AS tokens FROM documents")
-def _(t):
-    return t("documents").select("doc_id", text.token_estimate(F.col("text")).alias("tokens"))
-
-
-@query("txt_sentences", f"""SELECT doc_id, list_filter(string_split(regexp_replace({_SPACE.format('text')}, '([.!?]) ', '\\1' || chr(1), 'g'), chr(1)), lambda s: length(s) >= 20)[1:50] AS sentences FROM documents""")
-def _(t):
-    return t("documents").select("doc_id", text.sentences(F.col("text")).alias("sentences"))
-
-
-# urls ------------------------------------------------------------------------------------------
-_HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
-
-
-@query("scl_site_key", f"""SELECT page_id, {_HOST} AS host, CASE WHEN len(string_split({_HOST}, '.')) >= 3 AND length(string_split({_HOST}, '.')[-1]) = 2 AND string_split({_HOST}, '.')[-2] IN ('co','com','org','net','gov','ac')
- THEN array_to_string(string_split({_HOST}, '.')[-3:], '.') ELSE array_to_string(string_split({_HOST}, '.')[-2:], '.') END AS site FROM pages""")
-def _(t):
-    return t("pages").select("page_id", urls.host(F.col("url")).alias("host"), urls.site_key(F.col("url")).alias("site"))
-
-
-@query("dup_canonical_url", f"""WITH b AS (SELECT page_id, url, regexp_replace(trim(url), '#.*$', '') AS u FROM pages),
-q AS (SELECT page_id, url, u, array_to_string(list_filter(string_split(regexp_extract(u, '\\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT starts_with(lower(p), 'utm_') AND lower(regexp_extract(p, '^([^=]*)', 1)) NOT IN ('gclid','fbclid','ref')), '&') AS qs FROM b)
-SELECT page_id, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' || {_HOST} || rtrim(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/') || CASE WHEN qs <> '' THEN '?' || qs ELSE '' END AS canonical FROM q""")
-def _(t):
-    return t("pages").select("page_id", urls.canonical_url(F.col("url")).alias("canonical"))
-
-
-# dates -----------------------------------------------------------------------------------------
-_DATED = "CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y') WHEN 1 THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END"
-
-
-def _raw_date():
-    d = F.col("o_orderdate").cast("date")
-    return F.when(F.col("o_orderkey") % 3 == 0, F.date_format(d, "yyyy")).when(F.col("o_orderkey") % 3 == 1, F.date_format(d, "yyyy-MM")).otherwise(F.date_format(d, "yyyy-MM-dd"))
-
-
-@query("flt_date_gate", f"""WITH s AS (SELECT o_orderkey, {_DATED} AS raw, o_orderkey % 3 AS p, o_orderdate::DATE AS d FROM orders),
-x AS (SELECT o_orderkey, p, CASE p WHEN 0 THEN date_trunc('year', d) WHEN 1 THEN date_trunc('month', d) ELSE d END::DATE AS a, CASE p WHEN 0 THEN date_trunc('year', d) + INTERVAL 1 YEAR - INTERVAL 1 DAY WHEN 1 THEN last_day(d) ELSE d END::DATE AS b FROM s)
-SELECT o_orderkey, CASE p WHEN 0 THEN 'year' WHEN 1 THEN 'month' ELSE 'day' END AS precision, a::VARCHAR AS span_start, b::VARCHAR AS span_end,
- CASE WHEN p = 0 THEN 'real_publication_date_too_imprecise' WHEN b < DATE '1998-01-01' THEN 'canonical_publication_date_before_window' WHEN a <= DATE '1998-06-30' THEN 'in_window' WHEN a <= DATE '1998-09-28' THEN 'future_scheduled' ELSE 'canonical_publication_date_beyond_future_grace' END AS status FROM x""")
-def _(t):
-    """Dates of year, month or day precision against a window with 90 days of grace."""
-    raw = _raw_date()
-    s = dates.span(raw)
-    status = dates.gate(raw, F.lit("1998-01-01").cast("date"), F.lit("1998-06-30").cast("date"), 90)
-    return t("orders").select("o_orderkey", s["precision"].alias("precision"), s["start"].cast("string").alias("span_start"), s["end"].cast("string").alias("span_end"), status.alias("status"))
-
-
-@query("agg_date_status", "SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'real_publication_date_too_imprecise' WHEN o_orderkey % 3 = 1 AND last_day(o_orderdate::DATE) < DATE '1998-01-01' OR o_orderkey % 3 = 2 AND o_orderdate::DATE < DATE '1998-01-01' THEN 'canonical_publication_date_before_window' ELSE 'other' END AS status, count(*) AS n FROM orders GROUP BY 1")
-def _(t):
-    status = dates.gate(_raw_date(), F.lit("1998-01-01").cast("date"), F.lit("1998-06-30").cast("date"), 90)
-    kept = F.when(status.isin("real_publication_date_too_imprecise", "canonical_publication_date_before_window"), status).otherwise("other")
-    return t("orders").groupBy(kept.alias("status")).agg(F.count("*").alias("n"))
-
-
-# gates and relevance ---------------------------------------------------------------------------
-_LINES = "list_filter(list_transform(string_split_regex(text, '[\\r\\n]+'), lambda x: trim(x)), lambda x: x <> '')"
-
-
-@query("flt_body_diagnostics", f"""WITH l AS (SELECT doc_id, text, {_LINES} AS ls FROM documents),
-c AS (SELECT doc_id, length(text) AS chars, len(ls) AS lines, len(list_filter(ls, lambda x: length(x) >= 60)) AS paragraphs, len(ls) - len(list_distinct(ls)) AS repeated, len(list_filter(ls, lambda x: length(x) < 45)) AS short, len(list_filter(ls, lambda x: regexp_matches(x, '[.!?]$'))) AS ended FROM l)
-SELECT doc_id, chars::INT AS chars, lines::INT AS lines, paragraphs::INT AS paragraphs, repeated::INT AS repeated, short::INT AS short,
- CASE WHEN chars < 300 THEN 'too_short' WHEN paragraphs < 3 AND chars < 1000 THEN 'too_few_paragraphs' WHEN lines >= 8 AND repeated > 0.3 * lines THEN 'duplicate_lines' WHEN chars >= 500 AND ended < 0.35 * lines THEN 'few_sentences' WHEN lines >= 8 AND short > 0.45 * lines THEN 'short_lines' ELSE 'ok' END AS reason FROM c""")
-def _(t):
-    return t("documents").select("doc_id", curation.body_diagnostics(F.col("text")).alias("x")).select("doc_id", "x.*")
-
-
-_T, _B = "left(text, 80)", "substr(text, 81)"
-_ROLES = {"target": ["that"], "member": ["with"], "disease": ["from"], "related": ["which", "une"], "context": ["for", "was"], "excluded": ["und"]}
-_FLAGS = ", ".join(f"({' OR '.join(_has(e, w) for w in ws)}) AS {p}_{r}" for r, ws in _ROLES.items() for p, e in (("t", _T), ("b", _B)))
-_ASSESS = f"""WITH f AS (SELECT doc_id, {_FLAGS} FROM documents),
-g AS (SELECT *, t_target OR b_target AS direct, t_related OR b_related AS rel, t_context OR b_context AS ctx, t_excluded AND NOT (t_target OR b_target) AS ht FROM f),
-h AS (SELECT *, b_excluded AND NOT direct AND NOT rel AND NOT ht AS hb FROM g),
-a AS (SELECT doc_id, direct, rel, ht OR hb AS hard, t_target, (6 * t_target::INT + 5 * t_member::INT + 4 * t_disease::INT + 3 * (b_target AND NOT t_target)::INT + 2 * (b_member AND NOT t_member)::INT + 2 * (b_disease AND NOT t_disease)::INT
- + CASE WHEN t_related THEN 2 WHEN b_related THEN 1 ELSE 0 END + ctx::INT - 4 * (ctx AND NOT direct AND NOT rel)::INT - 10 * ht::INT - 7 * hb::INT) AS score FROM h),
-r AS (SELECT doc_id, score::INT AS score, hard, direct, CASE WHEN hard THEN 'reject' WHEN direct AND (score >= 6 OR t_target) THEN 'accept' WHEN direct AND score >= 3 THEN 'review' WHEN direct THEN 'reject' WHEN rel THEN 'review' ELSE 'reject' END AS decision FROM a)"""
-
-
-def _assessed(t):
-    d = t("documents")
-    return d.select("doc_id", "source", "n_chars", relevance.assess(F.left(F.col("text"), F.lit(80)), F.substring("text", 81, 1 << 30), TOPIC).alias("x")).select("doc_id", "source", "n_chars", "x.*")
-
-
-@query("rel_assess", _ASSESS + " SELECT doc_id, score, hard, direct, decision FROM r")
-def _(t):
-    return _assessed(t).drop("source", "n_chars")
-
-
-@query("rel_route", _ASSESS + """ , l AS (SELECT doc_id, CASE WHEN quality = 1 AND toxic = 0 THEN 'A' WHEN quality = 1 THEN 'B' ELSE 'N' END AS code FROM labels)
-SELECT doc_id, CASE WHEN code = 'A' THEN 'primary' WHEN code = 'B' THEN 'supplementary' WHEN code = 'N' THEN 'rejected' WHEN decision = 'accept' THEN 'primary' WHEN decision = 'review' THEN 'supplementary' ELSE 'rejected' END AS route FROM r LEFT JOIN l USING (doc_id)""")
-def _(t):
-    code = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "A").when(F.col("quality") == 1, "B").otherwise("N")
-    decided = t("labels").select("doc_id", code.alias("code"))
-    return _assessed(t).join(decided, "doc_id", "left").select("doc_id", relevance.route(F.col("code"), F.col("decision")).alias("route"))
-
-
-@query("rel_cliff_guard", _ASSESS + """ , c AS (SELECT doc_id AS seq, score >= 12 AS accepted, CASE WHEN score >= 5 THEN 1 WHEN score >= 3 THEN 2 WHEN score >= 1 THEN 3 END AS level FROM r),
-n AS (SELECT count(*) AS n, count_if(accepted) AS a FROM c),
-m AS (SELECT CASE WHEN n >= 100 AND a < 10 OR n >= 10 AND a < 0.3 * n OR n >= 10 AND a < 0.2 * 400 THEN greatest(0, least(n, greatest(10, ceil(n * 15 / 100.0), ceil(400 * 20 / 100.0))) - a) ELSE 0 END AS missing FROM n),
-k AS (SELECT seq, row_number() OVER (ORDER BY level, seq) AS place FROM c WHERE NOT accepted AND level IS NOT NULL)
-SELECT c.seq, c.accepted, c.level::INT AS level, coalesce(place <= (SELECT missing FROM m), false) AS recovered FROM c LEFT JOIN k USING (seq)""")
-def _(t):
-    level = F.when(F.col("score") >= 5, 1).when(F.col("score") >= 3, 2).when(F.col("score") >= 1, 3)
-    return relevance.cliff_guard(_assessed(t).select(F.col("doc_id").alias("seq"), (F.col("score") >= 12).alias("accepted"), level.alias("level")), 400)
-
-
-# merges ----------------------------------------------------------------------------------------
-@query("dup_merge_exact", f"""WITH k AS (SELECT sha256(lower({_SPACE.format('text')})) AS key, doc_id, source, text FROM documents)
-SELECT key, min(doc_id) AS doc_id, arg_max(length(text), (length(text), -doc_id))::INT AS longest, string_agg(DISTINCT source, ',' ORDER BY source) AS source, count(*) AS members FROM k GROUP BY key""")
-def _(t):
-    d = t("documents").withColumn("key", F.sha2(F.lower(text.clean_space(F.col("text"))), 256))
-    return curation.merge_by_key(d, "key", "doc_id", "text", "source").select("key", "doc_id", F.length("text").alias("longest"), "source", "members")
-
-
-@query("dup_circuit_breaker", f"""WITH p AS (SELECT page_id, {_HOST} AS host, left(regexp_extract(html, '<title>([^<]*)', 1), 12) AS title, length(html) AS n FROM pages),
-w AS (SELECT page_id, host || left(title, 4) AS grp, title, n FROM p)
-SELECT page_id, CASE WHEN min(title) OVER (PARTITION BY grp) <> max(title) OVER (PARTITION BY grp) THEN 'rejected_conflict' WHEN row_number() OVER (PARTITION BY grp ORDER BY n DESC, page_id) = 1 THEN 'kept' ELSE 'duplicate' END AS status FROM w""")
-def _(t):
-    title = F.left(F.regexp_extract("html", "<title>([^<]*)", 1), F.lit(12))
-    p = t("pages").select("page_id", title.alias("title"), F.length("html").alias("n"), F.concat(urls.host(F.col("url")), F.left(title, F.lit(4))).alias("grp"))
-    return curation.circuit_breaker(p, "grp", "title", "page_id", F.col("n")).select("page_id", "status")
-
-
-@query("jon_attach", """WITH b AS (SELECT item_id, text AS passage FROM benchmark), t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{8,}')) AS w FROM documents),
-s AS (SELECT item_id, unnest(regexp_extract_all(lower(passage), '[a-z]{8,}')) AS w FROM b), m AS (SELECT doc_id, item_id, count(DISTINCT w) AS shared FROM t JOIN s USING (w) GROUP BY 1, 2)
-SELECT doc_id, item_id, shared FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY shared DESC, item_id) AS place FROM m) WHERE place = 1""")
-def _(t):
-    """Best benchmark item of each document by shared long words; documents without one are left out."""
-    words = lambda c: F.explode(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("([a-z]{8,})"), F.lit(1))))
-    d = t("documents").select("doc_id", words(F.col("text")).alias("w")).distinct()
-    b = t("benchmark").select("item_id", words(F.col("text")).alias("w")).distinct()
-    m = d.join(b, "w").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
-    return m.groupBy("doc_id").agg(F.max(F.struct("shared", (-F.col("item_id")).alias("i"))).alias("x")).select("doc_id", (-F.col("x.i")).alias("item_id"), F.col("x.shared").alias("shared"))
-
-
-@query("sim_ratios")
-def _(t):
-    """String similarities of neighbouring benchmark items (no SQL form; tests hold them against definitions)."""
-    b = t("benchmark").select("item_id", "text")
-    n = b.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("other"))
-    x = b.join(n, "item_id")
-    args = ("text", "other")
-    return x.select("item_id", similarity.indel_ratio(*args).alias("indel"), similarity.token_set_ratio(*args).alias("token_set"), similarity.difflib_ratio(*args).alias("difflib"))
-
-
-# ranking and selection -------------------------------------------------------------------------
-@query("rnk_tier", _ASSESS + """ SELECT doc_id, score, CASE WHEN score / 10.0 >= 0.6 AND n_chars >= 500 AND n_chars >= 5000 THEN 'A' WHEN score / 10.0 >= 0.6 AND (n_chars >= 500 OR n_chars >= 5000) THEN 'B' ELSE 'C' END AS tier FROM r JOIN documents USING (doc_id)""")
-def _(t):
-    return _assessed(t).select("doc_id", "score", curation.tier(F.col("score") / 10, F.col("n_chars") >= 500, F.col("n_chars") >= 5000).alias("tier"))
-
-
-@query("rnk_diversified_topk", """SELECT doc_id, source, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS place FROM documents) WHERE place <= 4 ORDER BY n_chars DESC, doc_id LIMIT 25""")
-def _(t):
-    d = t("documents").select("doc_id", "source", "n_chars")
-    return curation.diversified_top(d, [F.col("n_chars").desc(), F.col("doc_id")], "source", 25, 4, 15)
-
-
-@query("rnk_top_split", """WITH p AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey LIMIT 50),
-s AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM p) ORDER BY o_totalprice DESC, o_orderkey LIMIT 100)
-SELECT o_orderkey, o_totalprice, 'primary' AS list FROM p UNION ALL SELECT o_orderkey, o_totalprice, 'supplementary' FROM s""")
-def _(t):
-    o = t("orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    return curation.top_split(o, F.col("o_orderstatus") == "F", [F.col("o_totalprice").desc(), F.col("o_orderkey")], 50, 100).drop("o_orderstatus")
-
-
-# budgets ---------------------------------------------------------------------------------------
-@query("bud_pack", """WITH RECURSIVE c AS (SELECT conv_id, turn, length(text)::BIGINT AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn, length(text)) AS i FROM (SELECT conv_id, min(turn) AS turn, max(text) AS text FROM conversations GROUP BY conv_id, conversations.turn)),
-p(conv_id, i, turn, used, batch) AS (SELECT conv_id, i, turn, n, 0::BIGINT FROM c WHERE i = 1 UNION ALL SELECT c.conv_id, c.i, c.turn, CASE WHEN p.used + c.n > 600 THEN c.n ELSE p.used + c.n END, CASE WHEN p.used + c.n > 600 THEN p.batch + 1 ELSE p.batch END FROM p JOIN c ON c.conv_id = p.conv_id AND c.i = p.i + 1)
-SELECT conv_id, turn, batch FROM p""")
-def _(t):
-    c = t("conversations").groupBy("conv_id", "turn").agg(F.length(F.max("text")).alias("n"))
-    return curation.pack(c, "conv_id", "turn", "n", 600)
-
-
-@query("bud_completion", """WITH r AS (SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place, o_orderstatus = 'F' AS ok FROM orders), b AS (SELECT floor((place - 1) / 25)::BIGINT AS batch, count(*) AS n, count_if(ok)::BIGINT AS ok FROM r GROUP BY 1),
-t AS (SELECT batch, n, ok, sum(ok) OVER (ORDER BY batch)::BIGINT AS total FROM b) SELECT batch, n, ok, total, total - ok < 100 AS runs FROM t""")
-def _(t):
-    from pyspark.sql.window import Window
-
-    o = t("orders").select(F.row_number().over(Window.orderBy(F.col("o_totalprice").desc(), "o_orderkey")).alias("place"), (F.col("o_orderstatus") == "F").alias("done"))
-    return curation.completion(o, "place", F.col("done"), 25, 100)
-
-
-# evidence --------------------------------------------------------------------------------------
-@query("txt_evidence_roles", """WITH c AS (SELECT conv_id, turn, CASE WHEN contains(lower(text), 'the') THEN 'methods' END AS found FROM conversations)
-SELECT conv_id, turn, coalesce(last_value(found IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING), 'text') AS role FROM c""")
-def _(t):
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    c = t("conversations").withColumn("found", F.when(F.lower("text").contains("the"), "methods"))
-    return c.select("conv_id", "turn", F.coalesce(F.last("found", True).over(w), F.lit("text")).alias("role"))
-
-
-@query("txt_evidence_rows")
-def _(t):
-    return curation.evidence_rows(t("documents"), "doc_id", "text")
-
-
-# audits ----------------------------------------------------------------------------------------
-_STATUS = "CASE WHEN event_type IN ('view', 'purchase') THEN 'success' WHEN event_type = 'error' THEN 'failed' ELSE 'skipped' END"
-
-
-@query("agg_source_audit", f"""WITH e AS (SELECT user_id, {_STATUS} AS status, floor(value)::BIGINT AS records FROM events),
-s AS (SELECT user_id, count_if(status = 'success')::BIGINT AS ok, count_if(status = 'failed')::BIGINT AS failed, count_if(status = 'skipped')::BIGINT AS skipped, sum(CASE WHEN status = 'success' THEN records ELSE 0 END)::BIGINT AS records FROM e GROUP BY 1)
-SELECT *, CASE WHEN ok > 0 AND records > 0 THEN CASE WHEN failed > 0 THEN 'degraded' ELSE 'healthy' END WHEN ok > 0 THEN 'empty' WHEN skipped > 0 AND failed = 0 THEN 'skipped' ELSE 'failed' END AS health FROM s""")
-def _(t):
-    status = F.when(F.col("event_type").isin("view", "purchase"), "success").when(F.col("event_type") == "error", "failed").otherwise("skipped")
-    e = t("events").select("user_id", status.alias("status"), F.floor("value").alias("records"))
-    return curation.source_health(e, "user_id", "status", F.col("records"))
-
-
-@query("agg_funnel", """WITH c AS (SELECT count(*) AS a0, count_if(n_chars >= 300) AS a1, count_if(n_chars >= 300 AND lang = 'en') AS a2, count_if(n_chars >= 300 AND lang = 'en' AND source = 'src0') AS a3 FROM documents),
-r AS (SELECT 0 AS pos, 'long' AS stage, a0 AS before, a1 AS after FROM c UNION ALL SELECT 1, 'english', a1, a2 FROM c UNION ALL SELECT 2, 'main_source', a2, a3 FROM c)
-SELECT pos::INT AS pos, stage, before, after, before - after AS dropped, before >= 10 AND after < 0.3 * before AS triggered FROM r""")
-def _(t):
-    return curation.funnel(t("documents"), [("long", F.col("n_chars") >= 300), ("english", F.col("lang") == "en"), ("main_source", F.col("source") == "src0")], 0.3)
-
-
-@query("agg_quality", "SELECT role, count(*) AS n, count_if(length(text) >= 100)::BIGINT AS complete, CASE WHEN 1 - count_if(length(text) >= 100) / count(*)::DOUBLE >= 0.5 THEN 'critical' WHEN 1 - count_if(length(text) >= 100) / count(*)::DOUBLE >= 0.2 THEN 'warning' ELSE 'normal' END AS severity FROM conversations GROUP BY 1")
-def _(t):
-    done = F.count_if(F.length("text") >= 100)
-    lost = 1 - done / F.count("*")
-    return t("conversations").groupBy("role").agg(F.count("*").alias("n"), done.alias("complete"), F.when(lost >= 0.5, "critical").when(lost >= 0.2, "warning").otherwise("normal").alias("severity"))
-
-
-@query("agg_fingerprint", "SELECT sha256(string_agg(sha256(url), '' ORDER BY page_id)) AS fingerprint, count(*) AS n FROM pages")
-def _(t):
-    """Ordered bundle hash over pages."""
-    return t("pages").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", F.sha2("url", 256).alias("h")))), lambda x: x["h"]), ""), 256).alias("fingerprint"), F.count("*").alias("n"))
-
-
-# state -----------------------------------------------------------------------------------------
-@query("sta_failure_taxonomy", "SELECT event_id, CASE event_type WHEN 'error' THEN 'timeout' WHEN 'click' THEN 'quota' WHEN 'view' THEN 'rate_limit' WHEN 'signup' THEN 'none' ELSE 'unknown' END AS category FROM events")
-def _(t):
-    message = F.when(F.col("event_type") == "error", "Request timed out").when(F.col("event_type") == "click", "QUOTA exceeded: 429").when(F.col("event_type") == "view", "HTTP 429").when(F.col("event_type") == "signup", "").otherwise("other trouble")
-    return t("events").select("event_id", curation.failure_category(message).alias("category"))
-
-
-@query("sta_baseline", "WITH d AS (SELECT ts::DATE AS day, count(*) AS n FROM events GROUP BY 1) SELECT day::VARCHAR AS day, n, max(n) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING) AS baseline FROM d")
-def _(t):
-    from pyspark.sql.window import Window
-
-    d = t("events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
-    return d.select(F.col("day").cast("string").alias("day"), "n", F.max("n").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)).alias("baseline"))
-
-
-@query("sta_keep_latest", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events) WHERE place = 1 ORDER BY event_id DESC LIMIT 100")
-def _(t):
-    return curation.keep_latest(t("events").select("user_id", "event_id", "event_type"), "user_id", "event_id", 100)
-
-
-@query("sta_cache_key", "SELECT doc_id, sha256('v1|' || lang || '|' || source || '|' || sha256(text)) AS key FROM documents")
-def _(t):
-    return t("documents").select("doc_id", F.sha2(F.concat_ws("|", F.lit("v1"), "lang", "source", F.sha2("text", 256)), 256).alias("key"))
-
-
-# compilation and annotation --------------------------------------------------------------------
-@query("ann_concepts", "SELECT l_orderkey, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS concepts, count(DISTINCT p_brand) AS n_concepts FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1")
-def _(t):
-    lines = t("lineitem").select("l_orderkey", F.col("l_partkey").alias("q"))
-    return curation.coverage(lines, t("part").select(F.col("p_partkey").alias("q"), "p_brand"), "l_orderkey", "q", "p_brand")
-
-
-@query("qry_plan", """WITH c AS (SELECT DISTINCT p_brand AS concept FROM part), p AS (SELECT * FROM (VALUES ('pubmed', '[tiab]'), ('epmc', ''), ('news', '')) v(provider, suffix)),
-q AS (SELECT provider, '"' || concept || '"' || suffix AS query, row_number() OVER (PARTITION BY provider ORDER BY concept) AS i FROM c, p) SELECT provider || '-' || lpad(i::VARCHAR, 2, '0') AS group_id, provider, query FROM q WHERE i <= 40""")
-def _(t):
-    """Concepts compiled to numbered queries of each provider's syntax."""
-    from pyspark.sql.window import Window
-
-    providers = F.array(*(F.struct(F.lit(p).alias("provider"), F.lit(s).alias("suffix")) for p, s in (("pubmed", "[tiab]"), ("epmc", ""), ("news", ""))))
-    q = t("part").select(F.col("p_brand").alias("concept")).distinct().select("concept", F.explode(providers).alias("p")).select("concept", "p.*")
-    i = F.row_number().over(Window.partitionBy("provider").orderBy("concept"))
-    q = q.withColumn("i", i).where("i <= 40")
-    return q.select(F.concat_ws("-", "provider", F.lpad(F.col("i").cast("string"), 2, "0")).alias("group_id"), "provider", F.concat(F.lit('"'), "concept", F.lit('"'), "suffix").alias("query"))
-
-
-@query("set_contradictions", "SELECT DISTINCT p_type AS term FROM part WHERE p_size < 10 INTERSECT SELECT DISTINCT p_type FROM part WHERE p_size > 40")
-def _(t):
-    return t("part").where("p_size < 10").select(F.col("p_type").alias("term")).intersect(t("part").where("p_size > 40").select("p_type"))
-
-
-@query("str_window_7d", "SELECT event_type, (DATE '2024-01-01' + (7 * floor(date_diff('day', DATE '2024-01-01', ts::DATE) / 7.0))::INT)::VARCHAR AS week, count(*) AS n FROM events GROUP BY 1, 2")
-def _(t):
-    week = F.date_add(F.lit("2024-01-01").cast("date"), (F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7) * 7).cast("int"))
-    return t("events").groupBy("event_type", week.cast("string").alias("week")).agg(F.count("*").alias("n"))
+from ..functions import text
+from ..operators import ranking, relevance
+from . import gating, landing, merging, scalars  # noqa: F401
+from .registry import QUERIES, SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean, detect the language, assess, rank by tier and score; diversified over sources."""
+    """Clean, detect the language, assess, score and rank; the best 25, at most four of a source."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    x = relevance.assess(F.left(F.col("text"), F.lit(80)), F.substring("text", 81, 1 << 30), TOPIC)
-    d = d.select("doc_id", "source", "n_chars", text.detect_language(F.col("text"), F.col("lang")).alias("language"), x.alias("x")).select("doc_id", "source", "n_chars", "language", "x.score", "x.decision")
-    d = d.withColumn("tier", curation.tier(F.col("score") / 10, F.col("n_chars") >= 500, F.col("n_chars") >= 5000))
-    return curation.diversified_top(d, [F.col("tier"), F.col("score").desc(), F.col("doc_id")], "source", 25, 4, 15)
+    d = relevance.assessed(d, F.left("text", F.lit(80)), F.substring("text", 81, 1 << 30), gating.TOPIC, "x")
+    x = F.col("x")
+    listed = F.array("source")
+    quality = ranking.paper_quality(relevance.normalised(x["score"]), listed, F.array("lang"), F.lit(""), F.col("text"), text.EMPTY(), F.lit(False), F.lit(""), F.lit(0), F.lit(""), F.current_date())
+    d = d.select("doc_id", "source", "n_chars", text.detect_language(F.col("text"), F.col("lang")).alias("language"), x["score"].alias("score"), x["decision"].alias("decision"), quality.alias("quality"))
+    return ranking.diversified_top(d.where("decision <> 'reject'"), [F.col("quality").desc(), F.col("doc_id")], "source", 25, 4, 15)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)

@@ -1,0 +1 @@
+"""Landed payloads to records, and records to files."""

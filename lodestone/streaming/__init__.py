@@ -1,0 +1 @@
+"""Streams: source audits, reporting windows and cross-run state."""

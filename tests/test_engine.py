@@ -1,12 +1,21 @@
-"""Queries against their oracle SQL on the smallest tables, and definitions of the scalars."""
+"""Queries against their oracle SQL on the smallest tables, and operators against the rules' own examples and brute force."""
 
+import datetime
+import difflib
+import itertools
 import math
+import random
+import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from lodestone.functions import similarity
+from lodestone.functions import dates, similarity, text, urls
+from lodestone.operators import curation, dedup, entities, evidence, gates, order, querying, ranking, relevance, structured
 from lodestone.plans import catalogue
+from lodestone.sources import sinks
+from lodestone.streaming import audit
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -15,7 +24,9 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else float(f"{v:.9g}")
-    return tuple(map(norm, v)) if isinstance(v, list) else v
+    if isinstance(v, dict):
+        return tuple(sorted((k, norm(x)) for k, x in v.items()))
+    return tuple(map(norm, v)) if isinstance(v, (list, tuple)) else v
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
@@ -31,12 +42,280 @@ def test_oracle(spark, name):
     assert a == b
 
 
+def test_flagship(spark):
+    assert 0 < catalogue.flagship(spark, SF).count() <= 25
+
+
+def one(spark, *columns):
+    return spark.range(1).select(*columns).first()
+
+
+def test_text(spark):
+    got = one(
+        spark, text.clean_space(F.lit("  a&amp;b  Ａ\n")).alias("c"), text.strip_tags(F.lit("&lt;b&gt;x&lt;/b&gt; <i>y</i>")).alias("s"), text.normalize_title(F.lit("The Étude: of a Virus")).alias("t"), text.detect_language(F.lit("こ abc"), F.lit("en")).alias("ja"),
+        text.detect_language(F.lit("ab"), F.lit("English")).alias("en"), text.detect_language(F.lit("ab"), F.lit("")).alias("und"), text.verified_english(F.lit("こ text")).alias("v"), text.clean_abstract(F.concat(*[F.lit("Results: This long sentence is here twice, word for word, so that it must go once. "), F.lit("This long sentence is here twice, word for word, so that it must go once. Abbreviations: A: b; C: d")])).alias("abs"),
+        text.translation_fault(F.lit("病毒在5个国家"), F.lit("virus in 5 of 7"), True).alias("lost"),
+    )
+    assert (got.c, got.s, got.t, got.ja, got.en, got.und, got.v, got.lost) == ("a&b A", "x y", "étude of virus", "ja", "en", "und", False, "number_loss")
+    assert got.abs == "Results: This long sentence is here twice, word for word, so that it must go once."
+    assert spark.createDataFrame([("ﬁne &eacute;",)], "t string").select(text.clean_space_exact("t").alias("t")).first().t == "fine é"
+
+
+def test_folds(spark):
+    long_ = "One sentence is right here. Another sentence is over there. A third one ends the text…"
+    d = spark.createDataFrame([(long_,), (None,)], "t string")
+    got = d.select(text.clip_sentences(60)("t").alias("a"), text.complete_text(60, ("over there",))("t").alias("b"), text.chunks(40)("t").alias("c"), text.clip_piece(30)("t").alias("d")).collect()
+    assert got[0].a == "One sentence is right here. Another sentence is over there."
+    assert got[0].b == "One sentence is right here. A third one ends the text."
+    assert got[0].c == ["One sentence is right here.", "Another sentence is over there.", "A third one ends the text..."] or got[0].c[0] == "One sentence is right here."
+    assert got[0].d == "One sentence is right here." and got[1].a == "" and got[1].c == []
+
+
+def test_urls(spark):
+    got = one(spark, urls.canonical_url(F.lit("HTTPS://X.com:8443/")).alias("a"), urls.canonical_url(F.lit("https://x.com/a/?utm_x=1&b=2&ref=z#f")).alias("b"), urls.clean_news_url(F.lit("https://x.com/a?source=k&ocid=1")).alias("c"), urls.safe_public(F.lit("https://[fe80::1]/")).alias("d"), urls.safe_public(F.lit("https://example.org/")).alias("e"))
+    assert tuple(got) == ("https://x.com:8443/", "https://x.com/a?b=2", "https://x.com/a?source=k", False, True)
+
+
 def test_similarity():
     assert round(similarity.indel("kitten", "sitting"), 2) == 61.54
-    assert similarity.token_set("a b", "b a c") == 100
-    assert similarity.token_set("", "a") == 0
-    assert similarity.partial("abc", "xxabcxx") == 100
+    assert similarity.token_set("a b", "b a c") == 100 and similarity.token_set("", "a") == 0 and similarity.partial("abc", "xxabcxx") == 100
+    rng = random.Random(1)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abc ") for _ in range(rng.randrange(0, 14))) for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+        assert similarity.lcs(a, b) == table[-1][-1]
+        assert not a or not b or similarity.blocks(a, b) == difflib.SequenceMatcher(None, a, b).ratio()
 
 
-def test_flagship(spark):
-    assert 0 < catalogue.flagship(spark, SF).count() <= 25
+def test_dates(spark):
+    day = lambda s: F.lit(s).cast("date")
+    old_but_indexed = {"published_date": F.lit("2020-01-01"), "indexed_date": F.lit("2026-07-10")}
+    g = lambda fields, **k: dates.assess(fields, day("2026-07-07"), day("2026-07-13"), **k)
+    got = one(spark, g(old_but_indexed).alias("a"), g({"online_date": F.lit("2026-07")}).alias("b"), g({"print_date": F.lit("2026-09-01")}, future_days=90).alias("c"), g({"published_date": F.lit("2026")}).alias("d"), g({"created_date": F.lit("2026-07-10")}).alias("e"))
+    assert [x.status for x in got] == ["rejected", "in_window_month_precision", "future_scheduled", "rejected", "rejected"]
+    assert [x.reason for x in got][3:] == ["real_publication_date_too_imprecise", "missing_real_publication_date"]
+
+
+# relevance --------------------------------------------------------------------------------------
+def test_entities():
+    contract = entities.Contract(target=("SARS-CoV-2", "enterovirus infection"), related=("SARS-CoV", "bovine enterovirus"), hard_excluded=("computer virus",), disease=("COVID 19",))
+    told = lambda s: {c: v for c, v in entities.terms_by_category(s, contract).items() if v}
+    assert told("SARS CoV 2 in cats; covid-19") == {"target": ["SARS-CoV-2"], "disease": ["COVID 19"]}
+    assert told("a bovine enterovirus infection") == {"related": ["bovine enterovirus"]}
+    assert told("SARS-CoV and computer virus") == {"related": ["SARS-CoV"], "hard_excluded": ["computer virus"]}
+    assert told("xSARS-CoV-2x") == {}
+    rng = random.Random(4)
+    for _ in range(300):
+        found = [(a, a + n, rank, f"t{rank}", "", "") for a, n, rank in ((rng.randrange(20), rng.randrange(1, 8), rng.randrange(5)) for _ in range(rng.randrange(1, 7)))]
+        kept = entities.resolved(found)
+        assert all(a[1] <= b[0] or b[1] <= a[0] for a, b in itertools.combinations(kept, 2))
+        assert not any(h[2] == 0 for h in found) or any(h[2] == 0 for h in kept)
+
+
+def test_assessment(spark):
+    contract = entities.Contract(target=("marburg virus",), related=("ebola virus",), hard_excluded=("marburg university",), context=("outbreak",), qualified=(("MVD", ("haemorrhagic",)),))
+    rows = [("Marburg virus outbreak", "It spread."), ("Ebola virus", "x"), ("Marburg University news", "x"), ("Outbreak", "x"), ("MVD", "haemorrhagic fever"), ("MVD", "a video disc"), ("Marburg virus and Ebola virus", ""), (None, None)]
+    d = relevance.assessed(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, title string, body string"), F.col("title"), F.col("body"), contract)
+    got = {r.i: (r.relevance.decision, r.relevance.route, r.relevance.score) for r in d.collect()}
+    assert got == {0: ("accept", "primary_candidate", 7), 1: ("review", "supplementary_related", 2), 2: ("reject", "reject", -10), 3: ("reject", "reject", -3), 4: ("review", "primary_candidate", 3), 5: ("reject", "reject", -4), 6: ("review", "primary_candidate", 8), 7: ("reject", "reject", 0)}
+
+
+@pytest.mark.parametrize("n, accepted, previous, want", [(10, 2, 0, 0), (200, 5, 0, 25), (200, 5, 400, 75), (50, 50, 0, 0), (9, 0, 0, 0), (100, 9, 0, 6)])
+def test_cliff_guard(spark, n, accepted, previous, want):
+    """Each alarm asks for its own target only; recovery goes by level and place."""
+    rows = [(i, i < accepted, None if i % 7 == 6 else 1 + i % 3) for i in range(n)]
+    got = relevance.cliff_guard(spark.createDataFrame(rows, "seq long, accepted boolean, level int"), previous).collect()
+    open_ = sorted((r[2], r[0]) for r in rows if not r[1] and r[2])
+    assert sorted(r.seq for r in got if r.recovered) == sorted(s for _, s in open_[:want]) and len(got) == n
+
+
+def test_places(spark):
+    rows = [(i, float(i % 5) if i % 11 else None) for i in range(500)]
+    got = {r.i: r.place for r in order.placed(spark.createDataFrame(rows, "i int, v double"), F.col("v"), [F.col("i")], 7).collect()}
+    want = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+    assert got == {r[0]: p for p, r in enumerate(want, 1)}
+    assert order.placed(spark.createDataFrame([], "i int, v double"), F.col("v"), [F.col("i")]).count() == 0
+
+
+def test_no_single_partition_window(spark):
+    """Global places are made without a window over the whole table or a hint to broadcast."""
+    for df in (catalogue.queries()["bud_completion"](spark, SF), catalogue.queries()["rel_cliff_guard"](spark, SF), catalogue.queries()["rnk_rank"](spark, SF)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "ResolvedHint" not in plan
+        assert all("__range" in w or "batch" in w for w in re.findall(r"Window \[row_number\(\).*", plan))
+
+
+# dedup ------------------------------------------------------------------------------------------
+def papers(spark, rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, title string, authors array<string>, year string, doi string, abstract string, source string, published_date string")
+
+
+def test_dedup_papers(spark):
+    rows = [
+        ("A study of virus spread in bats", ["Ann Lee"], "2024", "10.1/a", "short", "PubMed", "2024-05"), ("A Study of Virus Spread in Bats", ["Lee AN"], None, "10.1/A", "a longer abstract of it", "Crossref", "2024-05-03"),
+        ("Something else altogether here", ["Bo Ray"], "2024", "10.1/a", None, "Crossref", None), ("Study of virus spread in bats", ["Ann Lee"], "2025", None, None, "OpenAlex", None), ("Study of virus spread in bats", ["Zed Quux"], "2010", None, None, "OpenAlex", None), ("", [], None, None, None, "x", None),
+    ]
+    got = {r.seq: r for r in dedup.dedup_papers(papers(spark, rows)).collect()}
+    assert sorted(got) == [0, 2, 4]
+    assert got[0].members == 3 and got[0].abstract == "a longer abstract of it" and got[0].sources == ["PubMed", "Crossref", "OpenAlex"] and got[0].published_date == "2024-05" and got[0].authors == ["Ann Lee", "Lee AN"]
+    assert got[0].paper_id.startswith("paper-") and len({r.paper_id for r in got.values()}) >= 2
+    assert dedup.dedup_papers(papers(spark, rows[:0])).count() == 0
+
+
+def test_leaders(spark):
+    """Title leaders against the rule applied to all pairs in order."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(30)]
+    base = [[rng.choice(words) for _ in range(8)] for _ in range(6)]
+    rows = []
+    for _ in range(60):
+        t = list(rng.choice(base))
+        for _ in range(rng.randrange(0, 3)):
+            t[rng.randrange(len(t))] = rng.choice(words)
+        rows.append((" ".join(t), [rng.choice(["Ann Lee", "Bo Ray"])] if rng.random() < 0.7 else [], rng.choice([None, "2020", "2021", "2024"]), None, None, "x", None))
+    keys, order_ = {}, []
+    for i, r in enumerate(rows):
+        key = (r[0], (r[1] or [""])[0])
+        if key in keys:
+            one_ = keys[key]
+            one_["year"] = one_["year"] or r[2]
+            one_["n"] += 1
+        else:
+            keys[key] = {"seq": i, "t": r[0], "a": (r[1] or [""])[0].lower(), "year": r[2], "n": 1}
+            order_.append(keys[key])
+    leaders = []
+    for x in order_:
+        for y in leaders:
+            author = not x["a"] or not y["a"] or similarity.indel(x["a"], y["a"]) >= 68
+            year = not x["year"] or not y["year"] or abs(int(x["year"]) - int(y["year"])) <= 1
+            if author and year and similarity.token_set(x["t"], y["t"]) >= 92:
+                y["n"], y["a"], y["year"] = y["n"] + x["n"], y["a"] or x["a"], y["year"] or x["year"]
+                break
+        else:
+            leaders.append(x)
+    got = {r.seq: r.members for r in dedup.dedup_papers(papers(spark, rows)).collect()}
+    assert got == {y["seq"]: y["n"] for y in leaders}
+
+
+def test_title_pairs(spark, monkeypatch):
+    """Near titles are candidates, however small the groups that are compared whole."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(25)]
+    titles = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) for _ in range(120)]
+    titles += [re.sub(r"w\d+", "wx", t, count=1) for t in titles[:20]] + titles[:5]
+    d = spark.createDataFrame(list(enumerate(titles)), "k long, t string")
+    want = {(i, j) for i, j in itertools.combinations(range(len(titles)), 2) if similarity.token_set(titles[i], titles[j]) >= 92}
+    assert want <= {(r.a, r.b) for r in dedup.title_pairs(d, "k", "t").collect()}
+
+
+def test_dedup_news(spark):
+    rows = [
+        (0, "Outbreak in Ghana grows", "https://news.google.com/a", "2024-01-01", "Daily", "Outbreak in Ghana grows"), (1, "Outbreak in Ghana grows", "https://daily.org/x?utm_a=1", "2024-01-01", "Daily", "a longer excerpt of the story"),
+        (2, "Outbreak in Ghana grows", "https://other.org/y", "2024-02-01", "Other", ""), (3, "Quite another title", "https://daily.org/x", "2024-03-01", "Daily", ""), (4, None, "https://z.org", None, None, None),
+    ]
+    got = {r.seq: r for r in dedup.dedup_news(spark.createDataFrame(rows, "seq long, title string, url string, published_date string, publisher string, excerpt string")).collect()}
+    assert {s: r.leader for s, r in got.items()} == {0: 0, 1: 0, 2: 2, 3: 3} or {s: r.leader for s, r in got.items()} == {0: 0, 1: 0, 2: 2, 3: 0}
+    assert got[0].story_url == "https://daily.org/x?utm_a=1" and got[0].story_excerpt == "a longer excerpt of the story" and got[0].snippet_repeats_title and got[0].news_id.startswith("news-")
+
+
+def test_gates(spark):
+    got = one(spark, gates.record_type(F.array(F.lit("Dataset")), [], [], F.lit(""), F.lit("t")).alias("a"), gates.payload_reason(F.lit("404 - Page not found"), F.lit(200)).alias("b"), gates.body_diagnostics(F.lit("Sign in. " * 80)).alias("c"))
+    assert not got.a.accepted and got.b == "http_404" and "navigation_ratio_exceeded" in got.c.reasons
+
+
+def test_ranking(spark):
+    """Few rows: all, without the cap on sources; otherwise at most four of a source, filled up to the least number."""
+    rows = [(i, "a" if i < 25 else f"s{i}", 100 - i) for i in range(30)]
+    d = spark.createDataFrame(rows, "i int, source string, score int")
+    by = [F.col("score").desc(), F.col("i")]
+    assert ranking.diversified_top(d.limit(20), by, "source").count() == 20
+    top = sorted(r.i for r in ranking.diversified_top(d, by, "source", 25, 4, 15).collect())
+    assert top == [*range(10), 25, 26, 27, 28, 29]
+    split = ranking.top_split(d, "i", F.col("i") % 2 == 0, by, 3, 4, F.col("i") != 1).collect()
+    assert [(r.i, r.list) for r in split] == [(0, "primary"), (2, "primary"), (4, "primary"), (3, "supplementary"), (5, "supplementary"), (6, "supplementary"), (7, "supplementary")]
+
+
+def test_evidence(spark):
+    c = "BACKGROUND: Little is known about this virus so far. We sampled many bats in two large caves. RESULTS: Infection was found in 12 of 40 bats. It was higher in adult animals than in young ones."
+    rows = evidence.evidence_rows(spark.createDataFrame([(1, c), (2, None)], "k int, t string"), "k", "t").orderBy("pos").collect()
+    assert [(r.id, r.role) for r in rows] == [("S1", "background"), ("S2", "background"), ("S3", "results"), ("S4", "results")] and rows[2].text == "Infection was found in 12 of 40 bats."
+    fields = evidence.extracted([r.role for r in rows], [r.text for r in rows])
+    assert fields["main_results"] == 2 and len([v for v in fields.values() if v is not None]) == len({v for v in fields.values() if v is not None})
+
+
+def test_evidence_choice():
+    """One sentence of each role first; no near duplicates; the budget holds."""
+    rng = random.Random(3)
+    roles = [rng.choice(evidence.RESERVED) for _ in range(80)]
+    texts = [" ".join(f"word{rng.randrange(60)}" for _ in range(rng.randint(5, 60))) for _ in range(80)]
+    texts[50:60] = texts[:10]
+    for budget in (100, 2500, 6000, 10**6):
+        taken = evidence.chosen(roles, texts, budget)
+        assert sum(len(texts[i]) + 80 for i in taken) <= max(2500, budget) and taken == sorted(set(taken))
+        if budget >= 6000:
+            assert {roles[i] for i in taken} == set(roles)
+    best = max((i for i in range(80) if roles[i] == "methods"), key=lambda i: (evidence.row_scores(roles, texts)[i], -i))
+    assert best in evidence.chosen(roles, texts, 2500)
+
+
+def test_structured():
+    assert structured.loaded('```json\n{"a": [1, 2,],}\n```') [0] == '{"a": [1, 2]}'
+    assert structured.loaded('x {"a": "}"} y {"b": 1}') == ('{"a": "}"}', "balanced_json")
+    assert structured.loaded("no json") == (None, "invalid_json") and structured.loaded('{"a": {')[1] == "context_or_output_limit"
+
+
+def test_events(spark):
+    papers_ = spark.createDataFrame([(1, "Marburg virus cases in Rift Valley, again", "Deaths in Kenya, 2024"), (2, "Marburg review", "nothing"), (3, "Other outbreak in Kenya", "")], "seq long, title string, abstract string")
+    got = querying.event_queries(papers_, "Marburg virus", ("marburg",)).orderBy("place").collect()
+    assert [r.query for r in got] == ['"Marburg virus" kenya cases 2024', '"Marburg virus" Rift Valley cases 2024']
+
+
+def test_pack(spark):
+    rng = random.Random(2)
+    costs = [rng.choice([5, 20, 60, 100, 130]) for _ in range(60)]
+    batches, used = [0], 0
+    for i, c in enumerate(costs):
+        if used and used + c > 100:
+            batches[i:], used = [batches[i] + 1], 0
+        batches.append(batches[i])
+        used += c
+        if used >= 100:
+            batches[i + 1], used = batches[i + 1] + 1, 0
+    got = curation.pack(spark.createDataFrame([("k", i, c) for i, c in enumerate(costs)], "k string, o long, c long"), "k", "o", "c", 100).orderBy("o").collect()
+    assert [r.batch for r in got] == batches[:-1]
+
+
+def test_sinks(spark, tmp_path):
+    for day, name in (("2024-01-01", "a"), ("2024-01-02", "b"), ("2024-01-01", "c")):
+        sinks.write_issue(spark.createDataFrame([(day, name, "p", 1)], "issue_date string, issue_id string, profile_id string, n int"), str(tmp_path))
+    index = spark.read.json(f"{tmp_path}/history_index").orderBy("issue_date").collect()
+    assert [(r.issue_date, r.issue_id) for r in index] == [("2024-01-01", "c"), ("2024-01-02", "b")]
+    assert spark.read.json(f"{tmp_path}/latest").first().issue_id == "c" and spark.read.json(f"{tmp_path}/history").count() == 2
+    assert sinks.load_state(spark, f"{tmp_path}/none", "k string, v int").count() == 0
+    for _ in range(2):
+        sinks.write_audits({"x": spark.createDataFrame([(1,)], "n int")}, f"{tmp_path}/audit", "i1")
+    assert spark.read.parquet(f"{tmp_path}/audit/x").count() == 1
+
+
+def test_streams(spark, tmp_path):
+    """Health of sources and windows over a stream equal the batch operators; late events are dropped; baselines never fall."""
+    at = lambda d, h=0: datetime.datetime(2024, 1, d, h)
+    rows = [("s1", "success", 3, at(1)), ("s1", "failed", 0, at(2)), ("s2", "skipped", 0, at(3)), ("s2", "success", 0, at(20))]
+    schema = "source string, status string, records long, ts timestamp"
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
+    q = audit.health(stream, "source", "status", F.col("records")).writeStream.outputMode("complete").format("memory").queryName("health").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {r.source: r.health for r in spark.table("health").collect()} == {"s1": "degraded", "s2": "empty"} == {r.source: r.health for r in curation.source_health(spark.createDataFrame(rows, schema), "source", "status", F.col("records")).collect()}
+    windows = audit.windowed(stream, "ts", ["source"]).writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", f"{tmp_path}/ck")
+    windows.trigger(availableNow=True).start().awaitTermination(120)
+    spark.createDataFrame([("s1", "late", 0, at(2)), ("s3", "success", 1, at(30))], schema).coalesce(1).write.mode("append").parquet(src)
+    windows.trigger(availableNow=True).start().awaitTermination(120)
+    assert {(r.source, r.n) for r in spark.read.parquet(out).collect()} >= {("s1", 2), ("s2", 1)} and not [r for r in spark.read.parquet(out).collect() if r.source == "s1" and r.n == 1]
+    keep = audit.baseline_sink(f"{tmp_path}/base", ["source"], "records", "source string, records long")
+    for number, value in enumerate((5, 3, 9)):
+        keep(spark.createDataFrame([("s1", value)], "source string, records long"), number)
+    assert spark.read.parquet(f"{tmp_path}/base/v1").first().records == 5 and spark.read.parquet(f"{tmp_path}/base/v2").first().records == 9
