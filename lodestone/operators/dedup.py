@@ -83,7 +83,7 @@ def merged(df: DataFrame, cluster: str, seq: str = "seq") -> DataFrame:
         s = dates.span(F.col(n))
         aggs.append(F.coalesce(F.min(F.when(s.isNotNull(), F.struct(s["start"].alias("a"), F.col("__s").alias("s"), F.col(n).alias("v"))))["v"], F.max(n)).alias(n))
     if "abstract" in df.columns:
-        best = F.max(F.struct(F.length(text.fast_space(F.col("abstract"))).alias("n"), (-F.col("__s")).alias("s"), F.col("abstract").alias("v"), _col(df, "source").alias("source")))
+        best = F.max(F.struct(F.length(text.fast_space(F.col("abstract"))).alias("n"), (-F.col("__s")).alias("s"), F.col("abstract").alias("v"), F.coalesce(_col(df, "abstract_source"), _col(df, "source")).alias("source")))
         aggs += [best["v"].alias("abstract"), best["source"].alias("abstract_source")]
     inorder = lambda n: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__s").alias("s"), F.coalesce(F.col(n), text.EMPTY()).alias("v")))), lambda x: x["v"]))
     aggs += [text.distinct_ci(inorder(n)).alias(n) for n in have(LISTS)]

@@ -159,7 +159,7 @@ def test_dedup_papers(spark):
     ]
     got = {r.seq: r for r in dedup.dedup_papers(papers(spark, rows)).collect()}
     assert sorted(got) == [0, 2, 4]
-    assert got[0].members == 3 and got[0].abstract == "a longer abstract of it" and got[0].sources == ["PubMed", "Crossref", "OpenAlex"] and got[0].published_date == "2024-05" and got[0].authors == ["Ann Lee", "Lee AN"]
+    assert got[0].members == 3 and got[0].abstract == "a longer abstract of it" and got[0].sources == ["PubMed", "Crossref", "OpenAlex"] and got[0].published_date == "2024-05" and got[0].authors == ["Ann Lee"] and got[0].abstract_source == "Crossref"
     assert got[0].paper_id.startswith("paper-") and len({r.paper_id for r in got.values()}) >= 2
     assert dedup.dedup_papers(papers(spark, rows[:0])).count() == 0
 
