@@ -6,6 +6,9 @@ fingerprint inside them, whatever stands around. Fingerprints of texts and bench
 joined, and each hit is extended word by word along its diagonal (place in the text less
 place in the item), so that results rest on the words, not on hashes.
 
+An item in which a fingerprint stands often (one word or phrase over and over) would meet a text as repetitive in
+places times places; its distinct windows are sought in the texts that share a fingerprint, word by word.
+
 Items of fewer than 13 words are whole windows. Those of GRAM words or more are sought by
 their smallest fingerprint among all fingerprints of a text, shorter ones by their smallest
 word hash; both only if the benchmark has such items.
@@ -22,6 +25,8 @@ from .work import drop, pick, sized, store
 WINDOW = 13
 GRAM = 5
 SPAN = WINDOW - GRAM + 1
+#: Items in which a fingerprint stands more often than this are compared window by window.
+REPEATS = 16
 #: Items are broadcast while their words together stay below this many characters.
 BROADCAST_CHARS = 16_000_000
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -91,6 +96,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spots = full.select("doc_id", "text_hash", F.posexplode(at).alias("p", "fp"))
     if tiny:
         spots = spots.unionByName(full.select("doc_id", "text_hash", F.posexplode(singles(F.col("words"))).alias("p", "fp")))
+    often = place.groupBy("item", "fp").agg(F.count("*").alias("n")).where(f"n > {REPEATS}").select("item").distinct()
+    often, often_path = store(often, "often")
+    repetitive = not often.isEmpty()
+    if repetitive:
+        place = place.join(often, "item", "left_anti")
     diagonals = spots.join(sized(place), "fp").select("doc_id", "text_hash", "item", (F.col("p") - F.col("q")).alias("shift")).distinct()
     listed = F.broadcast(items) if chars <= BROADCAST_CHARS else items
     lined = diagonals.join(full.withColumnsRenamed(renamed), key).drop("d", "t").join(listed, "item")
@@ -99,6 +109,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     same = F.expr("transform(sequence(0, size(iw) - 1), j -> shift + j >= 0 and shift + j < size(words) and coalesce(get(words, shift + j) = iw[j], false))")
     starts = let(same, lambda x: F.filter(F.sequence(F.lit(0), F.size(x) - F.col("width")), lambda s: F.forall(F.slice(x, s + 1, F.col("width")), lambda y: y)))
     hits = lined.select("doc_id", "text_hash", "item_id", "shift", "width", F.explode(starts).alias("s")).select("doc_id", "text_hash", "item_id", (F.col("shift") + F.col("s")).alias("a"), (F.col("shift") + F.col("s") + F.col("width")).alias("b"))
+    if repetitive:
+        hits = hits.unionByName(_window_hits(full, items.join(often, "item")))
     hits, hits_path = store(hits.distinct(), "hits")
     by_start = Window.partitionBy("doc_id", "text_hash").orderBy("a", "b")
     spans = hits.select("doc_id", "text_hash", "a", "b").distinct().withColumn("before", F.max("b").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
@@ -106,7 +118,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = hits.where("item_id is not null").groupBy("doc_id", "text_hash").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
     told = covered.join(named.withColumnsRenamed(renamed), key, "left").select("doc_id", "text_hash", "n_hit", "ids")
     told, _ = store(told, "told")
-    drop(docs.sparkSession, near_path, full_path, hits_path, place_path, items_path)
+    drop(docs.sparkSession, near_path, full_path, hits_path, place_path, items_path, often_path)
     told = sized(told.withColumnsRenamed(renamed), limit=200_000)
     out = table.select("doc_id", "text_hash", "n_words").join(told, key, "left")
     ids = F.sort_array(F.coalesce("ids", F.array().cast("array<string>")))
@@ -114,7 +126,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "text_hash")
 
 
+def _window_hits(full: DataFrame, items: DataFrame) -> DataFrame:
+    """Occurrences (doc_id, text_hash, item_id, a, b) of the distinct windows of items in texts, by the words themselves."""
+    windows = lambda words, width: F.transform(F.sequence(F.lit(0), F.size(words) - width), lambda i: F.array_join(F.slice(words, i + 1, width), " "))
+    own = items.withColumn("width", F.least(F.lit(WINDOW), F.size("iw")))
+    own = own.select("item_id", "width", F.explode(F.array_distinct(windows(F.col("iw"), F.col("width")))).alias("w")).distinct()
+    found = None
+    # at most 13 widths
+    for width in sorted(r[0] for r in own.select("width").distinct().collect()):
+        spots = full.where(F.size("words") >= width).select("doc_id", "text_hash", F.posexplode(windows(F.col("words"), F.lit(width))).alias("a", "w"))
+        part = spots.join(own.where(F.col("width") == width), "w").select("doc_id", "text_hash", "item_id", "a", (F.col("a") + width).alias("b"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that the benchmark does not contaminate."""
+    """The rows of ``docs``, all columns, that the benchmark does not contaminate; rows without words stay. Rows of one
+    id and text go or stay together; an empty table stays empty, an empty benchmark keeps all."""
     bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
     return docs.join(sized(bad), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t")), "left_anti")

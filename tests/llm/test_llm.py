@@ -154,6 +154,28 @@ def test_contamination(spark, odd):
     assert not any(r.contaminated for r in contamination(odd, items.limit(0)).collect())
 
 
+def test_contamination_windows(spark):
+    """Against every window of every item, repetitive texts and items too."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(12)}"
+    items = [(1, "na " * 60), (2, " ".join(word() for _ in range(40))), (3, "ab cd " * 40 + "end of it"), (4, "na na na"), (5, "")]
+    docs = [(0, "na " * 500 + "stop " + "na " * 12), (1, "x " * 30 + items[1][1] + " y" * 900), (2, "cd ab " * 50), (3, "ab cd " * 20 + "end of it here"), (4, " ".join(word() for _ in range(300))), (5, "na na"), (6, None), (0, "na na na")]
+    got = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = []
+    for d, text in docs:
+        words, hit, found = (text or "").split(), set(), set()
+        for i, item in items:
+            w = item.split()
+            n = min(13, len(w))
+            wins = {tuple(w[a : a + n]) for a in range(len(w) - n + 1)} if n else set()
+            for a in range(len(words) - n + 1):
+                if tuple(words[a : a + n]) in wins:
+                    hit |= set(range(a, a + n))
+                    found.add(str(i))
+        want.append((d, len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words)))
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == sorted(want)
+
+
 def test_mix(odd):
     rows = mixing.mix(odd).collect()
     assert len(rows) == odd.count() and all(0 <= r.taken <= 2 * r.size for r in rows)
