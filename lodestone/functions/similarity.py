@@ -85,9 +85,13 @@ def sentence_similarity(a, b):
 
 
 def agreement(left: dict, right: dict):
-    """Mean Ratcliff-Obershelp ratio of the fields that both sides have."""
-    shared = [k for k in left if k in right]
-    return sum((block_ratio(F.lower(F.coalesce(left[k], F.lit(""))), F.lower(F.coalesce(right[k], F.lit("")))) for k in shared), F.lit(0.0)) / max(1, len(shared))
+    """Mean Ratcliff-Obershelp ratio, to three digits, of the fields that both sides have text for; 0 without any."""
+    low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    pairs = [(low(left[k]), low(right[k])) for k in left if k in right]
+    both = [(a != "") & (b != "") for a, b in pairs]
+    total = sum((F.when(ok, block_ratio(a, b)).otherwise(0.0) for ok, (a, b) in zip(both, pairs, strict=True)), F.lit(0.0))
+    n = sum((ok.cast("int") for ok in both), F.lit(0))
+    return F.when(n == 0, 0.0).otherwise(F.round(total / F.greatest(n, F.lit(1)), 3))
 
 
 def field_overlap(threshold: float = 0.88):

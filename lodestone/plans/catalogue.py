@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import ranking, relevance
-from . import completing, gating, landing, merging, publish, scalars  # noqa: F401
+from . import completing, gating, landing, merging, packing, publish, scalars  # noqa: F401
 from .registry import QUERIES, SQL
 
 
