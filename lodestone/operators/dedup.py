@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,12 +124,33 @@ def title_pairs(df: DataFrame, key: str, title: str) -> DataFrame:
     return pairs.unionByName(stars).unionByName(held).where("a < b").distinct()
 
 
+def _letters(c: Column) -> Column:
+    """How often each letter, and anything else, stands in a text."""
+    each = [F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in "abcdefghijklmnopqrstuvwxyz "]
+    return F.array(*each, F.length(c) - sum(each, F.lit(0)))
+
+
+def _common(a: Column, b: Column) -> Column:
+    """Letters that two texts have in common at most: no subsequence of both is longer."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+
+
 def similar_titles(df: DataFrame, key: str, title: str, least: float, measure=similarity.token_set_ratio) -> DataFrame:
-    """(a, b, score) of the candidate pairs of at least ``least``."""
-    own = df.select(F.col(key).alias("k"), F.col(title).alias("t"))
-    pairs = title_pairs(df, key, title)
-    pairs = pairs.join(own.withColumnsRenamed({"k": "a", "t": "ta"}), "a").join(own.withColumnsRenamed({"k": "b", "t": "tb"}), "b")
-    return pairs.withColumn("score", measure("ta", "tb")).where(F.col("score") >= least).select("a", "b", "score")
+    """(a, b, score) of the candidate pairs of at least ``least``. Upper bounds by letters and common tokens drop pairs before
+    a Python function measures the rest."""
+    sets = measure is similarity.token_set_ratio
+    words = F.array_sort(F.array_distinct(F.split(F.col(title), " ")))
+    own = df.select(F.col(key).alias("k"), F.col(title).alias("t"), words.alias("w"))
+    own = own.withColumn("s", F.array_join("w", " ") if sets else F.col("t"))
+    own = own.select("k", "t", "w", F.length("s").alias("n"), _letters(F.col("s")).alias("h"))
+    side = lambda x: own.withColumnsRenamed({"k": x, **{c: f"{c}{x}" for c in "twnh"}})
+    pairs = title_pairs(df, key, title).join(side("a"), "a").join(side("b"), "b")
+    best = 200 * _common(F.col("ha"), F.col("hb")) >= least * (F.col("na") + F.col("nb"))
+    if sets:
+        both = F.length(F.array_join(F.array_intersect("wa", "wb"), " "))
+        best = best | (200 * both >= least * (both + F.least("na", "nb")))
+    near = pairs.where(best).select("a", "b", "ta", "tb")
+    return near.withColumn("score", measure("ta", "tb")).where(F.col("score") >= least).select("a", "b", "score")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -166,8 +188,7 @@ def dedup_papers(df: DataFrame) -> DataFrame:
     replay = d.join(doubt, "__key", "left_semi").groupBy("__key").applyInPandas(_agreeing, "seq long, __conflict boolean")
     d = d.join(replay, "seq", "left").withColumn("__cluster", F.when(F.coalesce("__conflict", F.lit(False)), F.concat(F.col("__key"), F.lit("|conflict:"), F.left(F.sha2("__title", 256), F.lit(10)))).otherwise(F.col("__key")))
     one = cut(merged(d, "__cluster").withColumn("__sig", text.title_signature(F.col("title"))))
-    near = similar_titles(one, "seq", "__sig", SAME_TITLE)
-    parts = connected(near)
+    parts = connected(similar_titles(one, "seq", "__sig", SAME_TITLE))
     author = text.normalize_title(F.coalesce(F.get(_col(one, "authors", "array<string>"), 0), F.lit("")))
     rows = one.join(parts, F.col("seq") == F.col("k")).select("component", "seq", "__sig", author.alias("author"), text.year_of(_col(one, "year").cast("string")).alias("year"))
     leaders = rows.groupBy("component").applyInPandas(_leaders, "seq long, leader long")
@@ -192,12 +213,26 @@ def _agreeing(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _leaders(rows: pd.DataFrame) -> pd.DataFrame:
-    """Each record with the first earlier leader that it matches, in order; a leader's missing author and year are filled."""
+    """Each record with the first earlier leader that it matches, in order; a leader's missing author and year are filled.
+    Letters and common tokens tell most leaders apart before titles are measured."""
+    rows = rows.sort_values("seq")
+    bags = [sorted(set(t.split())) for t in rows["__sig"]]
+    size = np.array([len(" ".join(b)) for b in bags])
+    letters = np.array([[t.count(c) for c in "abcdefghijklmnopqrstuvwxyz "] for t in map(" ".join, bags)])
+    letters = np.column_stack([letters, size - letters.sum(axis=1)])
+    sets = [frozenset(b) for b in bags]
     leaders: list[dict] = []
+    at: list[int] = []
     told = []
-    for r in rows.sort_values("seq").to_dict("records"):
+    for i, r in enumerate(rows.to_dict("records")):
         year = None if pd.isna(r["year"]) else int(r["year"])
-        for one in leaders:
+        common = np.minimum(letters[at], letters[i]).sum(axis=1)
+        alike = 200 * common >= SAME_TITLE * (size[at] + size[i])
+        for j, one in enumerate(leaders):
+            if not alike[j]:
+                both = len(" ".join(sets[i] & sets[at[j]]))
+                if 200 * both < SAME_TITLE * (both + min(size[i], size[at[j]])):
+                    continue
             author = not r["author"] or not one["author"] or similarity.indel(r["author"], one["author"]) >= SAME_AUTHOR
             if author and (year is None or one["year"] is None or abs(year - one["year"]) <= 1) and similarity.token_set(r["__sig"], one["sig"]) >= SAME_TITLE:
                 one["author"], one["year"] = one["author"] or r["author"], one["year"] if one["year"] is not None else year
@@ -205,6 +240,7 @@ def _leaders(rows: pd.DataFrame) -> pd.DataFrame:
         else:
             one = {"seq": r["seq"], "sig": r["__sig"], "author": r["author"], "year": year}
             leaders.append(one)
+            at.append(i)
         told.append((r["seq"], one["seq"]))
     return pd.DataFrame(told, columns=["seq", "leader"])
 
@@ -226,11 +262,12 @@ def dedup_news(df: DataFrame) -> DataFrame:
     d = d.withColumns({"excerpt": F.when(F.col("__repeats"), "").otherwise(text.fast_space(F.col("excerpt"))), "__excerpt": F.when(F.col("__repeats"), "").otherwise(F.col("__excerpt"))})
     d = d.withColumns({"__date": F.left(text.fast_space(F.col("published_date").cast("string")), F.lit(10)), "__publisher": text.normalize_title(text.first_nonempty(_col(df, "publisher"), _col(df, "source"))), "__aggregator": urls.aggregator(F.col("url"))})
     d = cut(d)
-    near = similar_titles(d, "seq", "__sig", 98).select("a", "b")
+    near = cut(similar_titles(d, "seq", "__sig", 98).select("a", "b"))
+    earlier = near.groupBy(F.col("b").alias("k")).agg(F.collect_list("a").alias("near"))
     by_url = d.where("__url <> ''").groupBy("__url").agg(F.min("seq").alias("a"))
     same = d.join(by_url, "__url").where("a < seq").select("a", F.col("seq").alias("b"))
     parts = connected(near.unionByName(same))
-    rows = d.join(parts, F.col("seq") == F.col("k")).select("component", "seq", "__sig", "__url", "__date", "__publisher", "__excerpt", "__aggregator", "url", "excerpt")
+    rows = d.join(parts.join(earlier, "k", "left"), F.col("seq") == F.col("k")).select("component", "seq", "near", "__sig", "__url", "__date", "__publisher", "__excerpt", "__aggregator", "url", "excerpt")
     told = rows.groupBy("component").applyInPandas(_stories, "seq long, leader long, story_url string, story_excerpt string")
     out = d.join(told, "seq", "left").withColumns({"leader": F.coalesce("leader", "seq"), "story_url": F.coalesce("story_url", "url"), "story_excerpt": F.coalesce("story_excerpt", "excerpt")})
     lead = F.concat(F.lit("news-"), F.left(F.sha2(F.concat_ws("|", "__sig", text.fast_space(F.col("published_date").cast("string"))), 256), F.lit(16)))
@@ -238,13 +275,13 @@ def dedup_news(df: DataFrame) -> DataFrame:
 
 
 def _stories(rows: pd.DataFrame) -> pd.DataFrame:
-    leaders: list[dict] = []
+    leaders: dict[int, dict] = {}
     by_url: dict[str, dict] = {}
     told = []
     for r in rows.sort_values("seq").to_dict("records"):
         one = by_url.get(r["__url"]) if r["__url"] else None
         if one is None:
-            for x in leaders:
+            for x in (leaders[i] for i in sorted(r["near"] if r["near"] is not None else ()) if i in leaders):
                 excerpt = similarity.token_set(r["__excerpt"], x["__excerpt"]) if r["__excerpt"] and x["__excerpt"] else 0
                 same = lambda f, x=x: bool(r[f]) and r[f] == x[f]  # noqa: B023, E731
                 if news_same(similarity.token_set(r["__sig"], x["__sig"]), r["__sig"] == x["__sig"], same("__date"), same("__publisher"), excerpt, r["__aggregator"] != x["__aggregator"]):
@@ -252,7 +289,7 @@ def _stories(rows: pd.DataFrame) -> pd.DataFrame:
                     break
         if one is None:
             one = dict(r)
-            leaders.append(one)
+            leaders[r["seq"]] = one
             if r["__url"]:
                 by_url.setdefault(r["__url"], one)
         else:
