@@ -486,11 +486,14 @@ def _verified(num, den):
 
 
 def _blocks(num, den):
-    """Links of the asking sets of a block with its members: common elements counted for all sets of a batch at once."""
+    """Links of the asking sets of a block with its members: common elements counted for all sets of a batch at once. Of all
+    links of a block those that join components (by label) that no link before them has joined, so that a block makes fewer
+    rows than it has components, whatever number of its sets link with each other."""
 
     def run(batches):
         now, held = None, []
         for batch in batches:
+            out = [], []
             for block, salt, asks, node, label, raw in zip(*(batch.column(c).to_pylist() for c in ("block", "salt", "asks", "node", "label", "elements")), strict=True):
                 if (block, salt) != now:
                     now, held, index = (block, salt), [], None
@@ -503,13 +506,24 @@ def _blocks(num, den):
                     order = np.argsort(elements, kind="stable")
                     elements, owner = elements[order], owner[order]
                     index = True
-                    nodes, labels = (np.array([h[i] for h in held], np.int64) for i in range(2))
+                    nodes, joined = (np.array([h[i] for h in held], np.int64) for i in range(2))
+                    above: dict[int, int] = {}
+                while label in above:
+                    label = above[label]
+                if (joined == label).all():
+                    continue
                 low, high = np.searchsorted(elements, own), np.searchsorted(elements, own, "right")
                 many = high - low
                 both = np.bincount(owner[np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)], minlength=len(held))
-                hit = np.flatnonzero((labels != label) & (nodes != node) & (den * both >= num * (sizes + len(own) - both)))
+                hit = np.flatnonzero((joined != label) & (den * both >= num * (sizes + len(own) - both)))
                 if len(hit):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(nodes[hit], node)), pa.array(np.maximum(nodes[hit], node))], ["a", "b"])
+                    met, at = np.unique(joined[hit], return_index=True)
+                    out[0].append(np.minimum(nodes[hit[at]], node))
+                    out[1].append(np.maximum(nodes[hit[at]], node))
+                    above.update(dict.fromkeys(met.tolist(), label))
+                    joined[np.isin(joined, met)] = label
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["a", "b"])
 
     return run
 

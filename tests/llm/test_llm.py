@@ -104,6 +104,24 @@ def test_crowds(spark, hot, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), root[i]) for i, s in enumerate(sets)}
 
 
+def test_blocks_make_a_forest():
+    """Of sets that all link with each other a block tells as many links as join them, not all; labels count as joined."""
+    rng = np.random.default_rng(5)
+    groups = [np.sort(rng.choice(1 << 60, 100, replace=False).astype(np.uint64)) for _ in range(3)]
+    sets = [np.sort(np.concatenate((g[:96], rng.choice(1 << 60, 4, replace=False).astype(np.uint64)))) for g in groups for _ in range(100)]
+    label = [i - i % 2 for i in range(len(sets))]
+    column = lambda asks: [pa.array([0] * len(sets)), pa.array([0] * len(sets)), pa.array([asks] * len(sets)), pa.array(range(len(sets))), pa.array(label), pa.array([s.tobytes() for s in sets])]
+    batches = [pa.RecordBatch.from_arrays(column(asks), ["block", "salt", "asks", "node", "label", "elements"]) for asks in (True, False)]
+    links = [p for b in ngram_join._blocks(75, 100)(batches) for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True)]
+    root = list(label)
+    for a, b in links:
+        assert 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))
+        low, high = sorted((root[a], root[b]))
+        root = [low if x == high else x for x in root]
+    assert root == [i - i % 100 for i in range(len(sets))]
+    assert len(links) == 3 * 49
+
+
 def test_one_null_id(spark):
     """A single null id in a table of otherwise unique ids links, and bridges texts that are apart."""
     words = [f"w{i}" for i in range(60)]
