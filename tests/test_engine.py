@@ -2,6 +2,7 @@
 
 import datetime
 import difflib
+import hashlib
 import itertools
 import math
 import random
@@ -319,3 +320,27 @@ def test_streams(spark, tmp_path):
     for number, value in enumerate((5, 3, 9)):
         keep(spark.createDataFrame([("s1", value)], "source string, records long"), number)
     assert spark.read.parquet(f"{tmp_path}/base/v1").first().records == 5 and spark.read.parquet(f"{tmp_path}/base/v2").first().records == 9
+
+
+def test_any_alike():
+    """Titles compared by bit rows against all pairs, with long titles and tokens in common."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.choice((1, 3, 6, 20))))
+    for _ in range(300):
+        left, right = ([" ".join(word() for _ in range(rng.randrange(0, rng.choice((3, 16))))) for _ in range(rng.randrange(0, 5))] for _ in range(2))
+        for least in (0.5, 0.62):
+            assert similarity.any_alike(left, right, least) == any(similarity.token_set(a, b) / 100 >= least for a in left for b in right)
+            assert similarity.any_alike(left, None, least) == any(similarity.token_set(a, b) / 100 >= least for i, a in enumerate(left) for b in left[:i])
+
+
+@pytest.mark.parametrize("chunk", [4096, 3])
+def test_circuit_breaker_of_large_groups(spark, chunk, monkeypatch):
+    """A group of unlike titles, one with a single alike pair, one with a repeated title; whatever the chunks."""
+    monkeypatch.setattr(dedup, "CHUNK", chunk)
+    monkeypatch.setattr(similarity, "token_set_ratio", None)
+    titles = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(40)]
+    rows = [("a", t) for t in titles] + [("b", t) for t in titles] + [("b", titles[7][:60] + "abcd")] + [("c", t) for t in [*titles, titles[3]]] + [("d", titles[0])]
+    df = spark.createDataFrame([(i, t, f"https://x.org/{u}", "", "full", 10) for i, (u, t) in enumerate(rows)], "seq long, title string, resolved_url string, content_hash string, content_status string, chars int")
+    got = dedup.circuit_breaker(df).collect()
+    told = {u: sorted({r.status for r in got if r.resolved_url.endswith(u)}) for u in "abcd"}
+    assert told == {"a": ["shared_error_page_suspected"], "b": ["duplicate_content_after_enrichment", "kept"], "c": ["duplicate_content_after_enrichment", "kept"], "d": ["kept"]}
