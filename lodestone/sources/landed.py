@@ -6,8 +6,13 @@ payload lacks are null or empty; a payload that does not parse gives no rows. Fu
 
 from __future__ import annotations
 
+from xml.parsers import expat
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..functions import dates, text, urls
 from ..operators.evidence import jats_section
@@ -121,31 +126,78 @@ def names_topic(title: Column, abstract: Column, terms: tuple[str, ...]) -> Colu
     return F.lit(True) if not terms else urls.any_of(hay, tuple(plain))
 
 
-def _tag(c: Column, path: str) -> Column:
-    return text.fast_space(F.xpath_string(c, F.lit(path)))
+_CITATION, _ARTICLE = "/PubmedArticle/MedlineCitation", "/PubmedArticle/MedlineCitation/Article"
+#: fixed values: dates of an article; its elements by name; kinds of its identifiers
+_DATES = {"online": f"{_ARTICLE}/ArticleDate", "printed": f"{_ARTICLE}/Journal/JournalIssue/PubDate", "created": f"{_CITATION}/DateCreated"}
+_PLACES = {
+    f"{_CITATION}/PMID": "pmid", f"{_ARTICLE}/ArticleTitle": "title", f"{_ARTICLE}/Journal/Title": "journal", f"{_ARTICLE}/Journal/JournalIssue/Volume": "volume", f"{_ARTICLE}/Journal/JournalIssue/Issue": "issue", f"{_ARTICLE}/Pagination/MedlinePgn": "pages",
+    **{f"{p}/{part}": f"{name}_{part}" for name, p in _DATES.items() for part in ("Year", "Month", "Day")},
+}
+_IDS, _ID = ("pubmed", "pmc", "doi"), "/PubmedArticle/PubmedData/ArticleIdList/ArticleId"
+_FOUND = [*_PLACES.values(), *(f"id_{k}" for k in _IDS)]
+
+
+def article_elements(xml: str) -> tuple[str, ...] | None:
+    """The texts of an article's elements (``_FOUND``), each of the first of its path, blank if there is none; None for what
+    does not parse. One pass without name spaces, as articles use prefixes that the whole answer declares."""
+    path, found, open_ = [""], {}, []
+
+    def start(tag: str, attrs: dict[str, str]) -> None:
+        path.append(f"{path[-1]}/{tag}")
+        name = _PLACES.get(path[-1]) or (path[-1] == _ID and f"id_{attrs.get('IdType')}")
+        if name and name not in found:
+            found[name] = []
+            open_.append((len(path), found[name]))
+
+    def end(tag: str) -> None:
+        if open_ and open_[-1][0] == len(path):
+            open_.pop()
+        path.pop()
+
+    def text_(data: str) -> None:
+        for _, parts in open_:
+            parts.append(data)
+
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text_
+    try:
+        parser.Parse(xml, True)
+    except expat.ExpatError:
+        return None
+    return tuple("".join(found.get(name, ())) for name in _FOUND)
+
+
+@pandas_udf(StructType([StructField(name, StringType()) for name in _FOUND] + [StructField("parsed", BooleanType())]))
+def _elements(xml: pd.Series) -> pd.DataFrame:
+    rows = [article_elements(x) if x is not None else None for x in xml]
+    return pd.DataFrame([(*r, True) if r else (*[None] * len(_FOUND), False) for r in rows], columns=[*_FOUND, "parsed"])
 
 
 def pubmed(df: DataFrame, payload: str) -> DataFrame:
-    """Articles of an EFetch answer: labelled abstract parts, authors, identifiers and three dates."""
+    """Articles of an EFetch answer: labelled abstract parts, authors, identifiers and three dates. An article that does not
+    parse gives no row."""
     others = [c for c in df.columns if c != payload]
     rows = df.select(*others, F.posexplode(F.regexp_extract_all(F.col(payload), F.lit(r"(?s)(<PubmedArticle\b.*?</PubmedArticle>)"), F.lit(1))).alias("pos", "x"))
+    rows = rows.withColumn("__e", _elements("x")).where("__e.parsed")
     x = F.col("x")
-    date = lambda p: dates.from_parts(_blank_null(_tag(x, f"{p}/Year")), _tag(x, f"{p}/Month"), _tag(x, f"{p}/Day"))
+    # columns of their own, so that each is computed once
+    rows = rows.select(*others, "pos", "x", *(text.fast_space(F.col(f"__e.{name}")).alias(f"__{name}") for name in _FOUND))
+    tag = lambda name: F.col(f"__{name}")
+    rows = rows.withColumns({f"__{name}": dates.from_parts(_blank_null(tag(f"{name}_Year")), tag(f"{name}_Month"), tag(f"{name}_Day")) for name in _DATES})
     inner = lambda tag, c: F.regexp_extract_all(c, F.lit(rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
     attr = lambda c: F.regexp_extract(c, r"Label=\"([^\"]*)\"", 1)
     parts = F.transform(F.regexp_extract_all(x, F.lit(r"(?s)(<AbstractText\b.*?</AbstractText>)"), F.lit(1)), lambda p: F.struct(attr(p).alias("l"), text.clean_space(F.regexp_replace(p, "<[^>]+>", "")).alias("t")))
     abstract = F.array_join(F.transform(F.filter(parts, lambda p: p["t"] != ""), lambda p: F.when(p["l"] != "", F.concat_ws(": ", p["l"], p["t"])).otherwise(p["t"])), " ")
     first = lambda tag, c: text.strip_tags(F.coalesce(F.get(inner(tag, c), 0), F.lit("")))
     authors = _names(F.transform(inner("Author", x), lambda a: F.when(first("CollectiveName", a) != "", first("CollectiveName", a)).otherwise(F.concat_ws(" ", first("ForeName", a), first("LastName", a)))))
-    article = "/PubmedArticle/MedlineCitation/Article"
-    ident = lambda kind: _tag(x, f"/PubmedArticle/PubmedData/ArticleIdList/ArticleId[@IdType='{kind}']")
-    pmid = F.coalesce(_blank_null(ident("pubmed")), _blank_null(_tag(x, "/PubmedArticle/MedlineCitation/PMID")))
-    online, printed = date(f"{article}/ArticleDate"), date(f"{article}/Journal/JournalIssue/PubDate")
+    pmid = F.coalesce(_blank_null(tag("id_pubmed")), _blank_null(tag("pmid")))
+    online, printed, created = (tag(name) for name in _DATES)
     return _record(rows, "PubMed", {
-        "pmid": pmid, "pmcid": _blank_null(ident("pmc")), "doi": _doi(ident("doi")), "title": _tag(x, f"{article}/ArticleTitle"), "abstract": abstract, "authors": authors, "journal": _tag(x, f"{article}/Journal/Title"), "year": text.year_of(F.coalesce(online, printed)),
-        "volume": _tag(x, f"{article}/Journal/JournalIssue/Volume"), "issue": _tag(x, f"{article}/Journal/JournalIssue/Issue"), "pages": _tag(x, f"{article}/Pagination/MedlinePgn"), "online_date": online, "created_date": date("/PubmedArticle/MedlineCitation/DateCreated"), "published_date": printed, "print_date": printed,
+        "pmid": pmid, "pmcid": _blank_null(tag("id_pmc")), "doi": _doi(tag("id_doi")), "title": tag("title"), "abstract": abstract, "authors": authors, "journal": tag("journal"), "year": text.year_of(F.coalesce(online, printed)),
+        "volume": tag("volume"), "issue": tag("issue"), "pages": tag("pages"), "online_date": online, "created_date": created, "published_date": printed, "print_date": printed,
         "publication_types": _names(F.transform(inner("PublicationType", x), text.strip_tags)), "url": F.coalesce(F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), pmid, F.lit("/")), F.lit("")),
-    })
+    }).drop(*(f"__{name}" for name in (*_FOUND, *_DATES)))
 
 
 # news -------------------------------------------------------------------------------------------

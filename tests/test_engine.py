@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import dates, similarity, text, urls
 from lodestone.operators import completion, curation, dedup, entities, evidence, gates, order, querying, ranking, relevance, structured
 from lodestone.plans import catalogue
-from lodestone.sources import sinks
+from lodestone.sources import landed, sinks
 from lodestone.streaming import audit
 
 SF = "/root/testdata/sf0.001"
@@ -363,3 +363,20 @@ def test_circuit_breaker_of_large_groups(spark, chunk, monkeypatch):
     got = dedup.circuit_breaker(df).collect()
     told = {u: sorted({r.status for r in got if r.resolved_url.endswith(u)}) for u in "abcd"}
     assert told == {"a": ["shared_error_page_suspected"], "b": ["duplicate_content_after_enrichment", "kept"], "c": ["duplicate_content_after_enrichment", "kept"], "d": ["kept"]}
+
+
+def test_pubmed_elements(spark):
+    """Elements by path, the first of each, with markup and references resolved; prefixes that are declared further out; what
+    does not parse gives no row and does not end the job."""
+    one = (
+        "<PubmedArticle><MedlineCitation><PMID>7</PMID><DateCreated><Year>1999</Year></DateCreated><Article><Journal><Title>J &amp; K</Title><JournalIssue><Volume> 3 </Volume><PubDate><Year>2001</Year><Month>Feb</Month></PubDate></JournalIssue></Journal>"
+        "<ArticleTitle>On <i>two</i> <mml:math>x &lt; y</mml:math></ArticleTitle><ArticleDate><Year>2000</Year><Month>1</Month><Day>2</Day></ArticleDate><ArticleDate><Year>2010</Year><Month>1</Month><Day>2</Day></ArticleDate></Article></MedlineCitation>"
+        "<PubmedData><ArticleIdList><ArticleId IdType=\"doi\">10.1/A</ArticleId><ArticleId IdType=\"doi\">10.1/b</ArticleId></ArticleIdList><ReferenceList><Reference><ArticleIdList><ArticleId IdType=\"pubmed\">99</ArticleId></ArticleIdList></Reference></ReferenceList></PubmedData></PubmedArticle>"
+    )
+    answer = f"<PubmedArticleSet xmlns:mml='m'>{one}<PubmedArticle><b></PubmedArticle>{one.replace('>7<', '>8<')}</PubmedArticleSet>"
+    got = landed.pubmed(spark.createDataFrame([(1, answer), (2, None), (3, "")], "k int, payload string"), "payload").orderBy("pos").collect()
+    assert [(r.k, r.pos, r.pmid) for r in got] == [(1, 0, "7"), (1, 2, "8")]
+    r = got[0]
+    assert (r.title, r.journal, r.volume, r.issue, r.doi, r.pmcid, r.year) == ("On two x < y", "J & K", "3", "", "10.1/a", None, 2000)
+    assert (r.online_date, r.print_date, r.published_date, r.created_date) == ("2000-01-02", "2001-02", "2001-02", "1999")
+    assert len(r) == len(set(r.asDict())) and not [c for c in r.asDict() if c.startswith("__")]
