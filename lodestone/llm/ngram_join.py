@@ -48,6 +48,8 @@ HOT = 24
 BLOCK = 1 << 18
 #: Elements of a block of sets that are compared with all members of their groups.
 ASKED = 1 << 21
+#: Elements of sets for each bucket of a packed exchange.
+DEALT = 1 << 19
 U64, I64, I32, I8 = np.dtype(np.uint64), np.dtype(np.int64), np.dtype(np.int32), np.dtype(np.int8)
 SALT = np.uint64(0xA5A5A5A5)
 # kinds of packed rows: a subset's member (by subset), the allowance of a set (by set), its component (by set),
@@ -551,7 +553,6 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     bands = Bands(num, den)
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    buckets, few = parts, max(8, parts // 4)
     paths: list[str] = []
 
     def kept(df: DataFrame, name: str) -> DataFrame:
@@ -562,6 +563,9 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
     every, _ = store(docs.mapInArrow(_classes(k), "doc_id long, text_hash long, node long, n long, bits binary"), "classes")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
     classes = kept(every.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"), first.alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.count("*").alias("copies")), "reps")
+    # a task that deals makes a row for each bucket, so rows grow with the square of the buckets: no more of them than the sets fill
+    buckets = max(8, min(parts, int(classes.agg(F.sum("n")).first()[0] or 0) // DEALT))
+    few = max(8, buckets // 4)
 
     def same(a: DataFrame, some: DataFrame, how: str) -> DataFrame:
         """``a`` joined by id and text hash, null ids too, with (id, hash, ...)."""
@@ -586,19 +590,19 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
         return df.mapInArrow(partial(_dealt, buckets, values), SCHEMA)
 
     def shared(index: DataFrame) -> DataFrame:
-        return kept(exchange(index, parts, _shared), "shared")
+        return kept(exchange(index, buckets, _shared), "shared")
 
     def met(priced: DataFrame, lacking: DataFrame) -> DataFrame:
         """(node) of all members of the groups that are too costly for some set."""
-        return exchange(exchange(priced.unionByName(packed(lacking.select("costly"), _costly)), parts, partial(_dealt, buckets, _met)), parts, _once, "node long")
+        return exchange(exchange(priced.unionByName(packed(lacking.select("costly"), _costly)), buckets, partial(_dealt, buckets, _met)), buckets, _once, "node long")
 
     def meet(multi: DataFrame, info: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
         """Links through cheap subsets between components, the priced groups, and the sets that lack counts (node, step, lacks, costly), None if there are none."""
         members = packed(multi.where(f"kind = {MEMBER}"), _by_set)
-        tagged = exchange(members.unionByName(multi.where(f"kind = {NEED}")).unionByName(packed(info.select("node", "size", "label", "n"), _info)), parts, partial(_dealt, buckets, _tagged))
-        priced = kept(exchange(tagged, parts, _priced).coalesce(few), "priced")
-        allotted = kept(exchange(packed(priced, _prices), parts, partial(_allotted, HOT, buckets)).coalesce(few), "allotted")
-        pairs = exchange(priced.unionByName(allotted.where(f"kind = {ASK}")), parts, partial(_pairs, num, den), "a long, b long").distinct()
+        tagged = exchange(members.unionByName(multi.where(f"kind = {NEED}")).unionByName(packed(info.select("node", "size", "label", "n"), _info)), buckets, partial(_dealt, buckets, _tagged))
+        priced = kept(exchange(tagged, buckets, _priced).coalesce(few), "priced")
+        allotted = kept(exchange(packed(priced, _prices), buckets, partial(_allotted, HOT, buckets)).coalesce(few), "allotted")
+        pairs = exchange(priced.unionByName(allotted.where(f"kind = {ASK}")), buckets, partial(_pairs, num, den), "a long, b long").distinct()
         costly = allotted.where(f"kind = {COSTLY}")
         lacking = None if costly.isEmpty() else kept(costly.mapInArrow(_lacking, "node long, step long, lacks long, costly binary"), "lacking")
         return links(pairs), priced, lacking
@@ -618,7 +622,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame,
     if lacking is not None:
         asks = lacking.groupBy("node").agg(F.collect_list(F.struct("step", "lacks", "costly")).alias("lacking"))
         some = info.join(met(priced, lacking), "node", "left_semi").join(asks, "node", "left")
-        close = kept(exchange(texts(some).mapInArrow(_neighbours(bands, k, buckets), SCHEMA), parts, partial(_close, HOT, num, den), "a long, b long").coalesce(few), "close")
+        close = kept(exchange(texts(some).mapInArrow(_neighbours(bands, k, buckets), SCHEMA), buckets, partial(_close, HOT, num, den), "a long, b long").coalesce(few), "close")
         last = kept(close.where("b is null").select(F.col("a").alias("node")).distinct(), "unserved")
         pairs = close.where("b is not null").join(last.withColumnRenamed("node", "a"), "a", "left_anti")
         found = found.unionByName(links(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))

@@ -122,6 +122,37 @@ def test_blocks_make_a_forest():
     assert len(links) == 3 * 49
 
 
+def test_rows_of_packed_exchanges(spark, monkeypatch):
+    """On a small table more shuffle partitions do not make more rows of packed values; where buckets are many, results are the same."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(60)]
+    texts = [passage + [word() for _ in range(rng.choice((8, 15, 40)))] for _ in range(60)]
+    texts += [[word() if rng.random() < 0.02 else w for w in texts[rng.randrange(20)]] for _ in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    exchange, made = ngram_join.exchange, []
+
+    def counted(df, *rest):
+        # the third holds what the tasks of another exchange deal
+        made.extend([df.count()] if len(made) < 3 else [])
+        return exchange(df, *rest)
+
+    monkeypatch.setattr(ngram_join, "exchange", counted)
+    before, most, got = spark.conf.get("spark.sql.shuffle.partitions"), [], []
+    try:
+        for parts, dealt in ((8, ngram_join.DEALT), (32, ngram_join.DEALT), (32, 1)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            monkeypatch.setattr(ngram_join, "DEALT", dealt)
+            made.clear()
+            got.append(sorted(map(tuple, ngram_join.jaccard_components(docs).collect())))
+            most.append(max(made))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1] == got[2]
+    assert len({c for _, _, c in got[0]}) < len(texts)
+    assert most[1] <= 2 * most[0] < most[2] // 4, most
+
+
 def test_one_null_id(spark):
     """A single null id in a table of otherwise unique ids links, and bridges texts that are apart."""
     words = [f"w{i}" for i in range(60)]
