@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions import dates, similarity, text, urls
-from lodestone.operators import completion, curation, dedup, entities, evidence, gates, order, querying, ranking, relevance, structured
+from lodestone.operators import completion, curation, dedup, entities, evidence, gates, near, order, querying, ranking, relevance, structured
 from lodestone.plans import catalogue
 from lodestone.sources import landed, sinks
 from lodestone.streaming import audit
@@ -213,6 +213,60 @@ def test_title_pairs(spark, monkeypatch):
     assert want <= {(r.a, r.b) for r in dedup.title_pairs(d, "k", "t").collect()}
 
 
+def test_frequent_words(spark):
+    """Titles whose common words are all frequent, and that differ in two words, still meet."""
+    words = ["infection", "transmission", "surveillance", "epidemiology", "characterisation", "vaccination"]
+    rows = [(f"{w} {hashlib.sha256(f'{w} {i}'.encode()).hexdigest()[:40]}", ["Ann Lee"], "2024", None, None, "x", None) for w in words for i in range(401)]
+    rows += [(" ".join([*words, *more]), ["Ann Lee"], "2024", None, None, "x", None) for more in (("q1", "r1"), ("q2", "r2"))]
+    got = {r.seq: r.members for r in dedup.dedup_papers(papers(spark, rows)).collect()}
+    assert len(got) == len(rows) - 1 and got[len(rows) - 2] == 2
+
+
+def test_near_pairs(spark, monkeypatch):
+    """Pairs told by bounds, in chunks and steps, against all pairs; with ``most``, the first ones of each chunk."""
+    rng = random.Random(5)
+    words = ["a", "ab", "abc", "abcd", "ba", "cab", "née", "日本", "of", "in", "infection", "infections"]
+    base = ["".join(rng.choice("abcdefgh  ") for _ in range(80)) for _ in range(8)]
+    titles = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 6))) for _ in range(120)]
+    for _ in range(120):
+        t = list(rng.choice(base))
+        for _ in range(rng.randint(0, 7)):
+            k = rng.randrange(len(t))
+            t[k : k + 1] = rng.choice(["", t[k] + "z", " ", "q"])
+        titles.append(" ".join("".join(t).split()))
+    monkeypatch.setattr(near, "STEP", 37)
+    monkeypatch.setattr(near, "BATCH", 16)
+    d = spark.createDataFrame([(i, t, "", None, i % 5 > 0, i % 7 > 0) for i, t in enumerate(titles)], "k long, title string, author string, year int, asks boolean, answers boolean")
+    for least in (92, 72):
+        want = {(i, j) for i, j in itertools.combinations(range(len(titles)), 2) if j % 5 and i % 7 and similarity.token_set(titles[i], titles[j]) >= least}
+        got = near.near_pairs(d, least).collect()
+        assert {(r.a, r.b) for r in got} == want and len(got) == len(want) and not any(r.more for r in got)
+    few = near.near_pairs(d, 72, 68, 2).collect()
+    first = {b: min(i for i, j in want if j == b) for _, b in want}
+    assert {b: min(r.a for r in few if r.b == b) for b in {r.b for r in few}} == first and {(r.a, r.b) for r in few} < want and any(r.more for r in few)
+
+
+def test_leaders_in_parts(spark, monkeypatch):
+    """Leaders told in parts and by few pairs at a time, with authors and years missing, against the rule in order."""
+    rng = random.Random(8)
+    words = ["of", "in", "bat", "virus", "spread", "infection", "surveillance", "cave"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 5))), rng.choice(["", "ann lee", "bo ray"]), rng.choice([None, 2020, 2021, 2023])) for i in range(400)]
+    leaders, want = [], {}
+    for k, t, a, y in rows:
+        for x in leaders:
+            if (not a or not x[2] or similarity.indel(a, x[2]) >= 68) and (y is None or x[3] is None or abs(y - x[3]) <= 1) and similarity.token_set(t, x[1]) >= 92:
+                x[2:] = [x[2] or a, y if x[3] is None else x[3]]
+                want[k] = x[0]
+                break
+        else:
+            leaders.append([k, t, a, y])
+    d = spark.createDataFrame(rows, "k long, title string, author string, year int")
+    monkeypatch.setattr(near, "STEP", 64)
+    for first in (100, 1000):
+        monkeypatch.setattr(dedup, "FIRST", first)
+        assert {r.k: r.leader for r in dedup.first_leaders(d, 1).collect()} == want
+
+
 def test_dedup_news(spark):
     rows = [
         (0, "Outbreak in Ghana grows", "https://news.google.com/a", "2024-01-01", "Daily", "Outbreak in Ghana grows"), (1, "Outbreak in Ghana grows", "https://daily.org/x?utm_a=1", "2024-01-01", "Daily", "a longer excerpt of the story"),
