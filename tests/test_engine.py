@@ -267,6 +267,16 @@ def test_leaders_in_parts(spark, monkeypatch):
         assert {r.k: r.leader for r in dedup.first_leaders(d, 1).collect()} == want
 
 
+def test_abstracts_last(spark):
+    """Abstracts decide nothing about papers: a result without them does not compute them; one with them does."""
+    d = papers(spark, [("A study of bats", ["Ann Lee"], "2024", None, "an abstract", "x", None), ("Study of bats", ["Ann Lee"], "2024", None, "a longer abstract", "y", None)])
+    bad = dedup.dedup_papers(d.withColumn("abstract", F.raise_error(F.col("abstract")).cast("string")))
+    assert [tuple(r) for r in bad.select("seq", "members").collect()] == [(0, 2)]
+    assert [tuple(r) for r in dedup.dedup_papers(d).select("abstract", "abstract_source").collect()] == [("a longer abstract", "y")]
+    with pytest.raises(Exception, match="abstract"):
+        bad.collect()
+
+
 def test_dedup_news(spark):
     rows = [
         (0, "Outbreak in Ghana grows", "https://news.google.com/a", "2024-01-01", "Daily", "Outbreak in Ghana grows"), (1, "Outbreak in Ghana grows", "https://daily.org/x?utm_a=1", "2024-01-01", "Daily", "a longer excerpt of the story"),
